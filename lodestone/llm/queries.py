@@ -1,0 +1,55 @@
+"""The registered queries of the training-data operators, and SQL for those that SQL expresses."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import quality
+from .common import read
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for f in (op10_quality_rules,)}
+
+
+_STOP = ", ".join(f"'{w}'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
+
+_QUALITY = rf"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+wins AS (
+  SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 4), ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM wins) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(0, 5)) AS k) GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines,
+         len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
+         len(list_filter(ws, lambda x: lower(x) IN ({_STOP}))) AS n_stop_words
+  FROM w LEFT JOIN rep ON w.doc_id = rep.doc_id),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+       NOT base_failed AND word_chars / n_words BETWEEN 2.0 AND 16.0 AND n_symbols / n_words <= 0.10
+       AND n_dup_lines / n_lines <= 0.50 AND n_stop_words / n_words >= 0.02 AS kept
+FROM b
+"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"op10_quality_rules": _QUALITY}
