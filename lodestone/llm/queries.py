@@ -7,8 +7,46 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
-from .common import read
+from . import packing, quality, resharding, token_shards, warc
+from .common import Scratch, read
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "warc")
+    out = scratch.path("archives")
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.read(warc.write(pages, out, scratch), out)
+
+
+def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "tokens")
+    out = scratch.path("shards")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_shards.read(token_shards.write(docs, out, scratch), out)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = packing.pack(packing.pieces(docs), Scratch(spark, "packing"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "least_sequences")
+
+
+SHARDS = 16
+
+
+def op9_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "shards")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    # The old layout: a source's documents lie together, so the shards are as uneven as the sources.
+    old = docs.select("doc_id", "text", F.pmod(F.xxhash64("source"), F.lit(SHARDS)).cast("int").alias("old_shard"))
+    written, _ = resharding.reshard(
+        old, scratch.path("shards"), scratch, id_column="doc_id", text_column="text", old_shard="old_shard", shards=SHARDS
+    )
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return written.select(
+        "doc_id", (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "moved",
+    )
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op10_quality_rules,)}
+    return {f.__name__: f for f in (op2_warc, op5_token_shards, op7_packing, op9_resharding, op10_quality_rules)}
 
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
