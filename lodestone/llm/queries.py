@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, resharding, token_shards, warc
+from . import packing, pii, quality, resharding, token_shards, warc
 from .common import Scratch, read
 
 
@@ -25,6 +25,14 @@ def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.read(token_shards.write(docs, out, scratch), out)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "pii"))
+    spans = F.col("spans")
+    n = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.sha2(pii.listed(spans, tuple(pii.PATTERNS)).cast("binary"), 256)
+    return found.select("doc_id", *(n(k) for k in pii.PATTERNS), base.alias("base_sha256"), pii.listed(spans).alias("spans"), n("term"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     placed = packing.pack(packing.pieces(docs), Scratch(spark, "packing"))
@@ -57,7 +65,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_warc, op5_token_shards, op7_packing, op9_resharding, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_warc, op5_token_shards, op6_pii, op7_packing, op9_resharding, op10_quality_rules)}
 
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
