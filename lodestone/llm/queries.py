@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pii, quality, resharding, token_shards, warc
+from . import line_dedup, packing, pii, quality, resharding, token_shards, warc
 from .common import Scratch, read
 
 
@@ -39,6 +39,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "least_sequences")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs, Scratch(spark, "lines")).select("doc_id", "text", "n_lines", "n_deleted")
+
+
 SHARDS = 16
 
 
@@ -65,7 +70,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_warc, op5_token_shards, op6_pii, op7_packing, op9_resharding, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_warc, op5_token_shards, op6_pii, op7_packing, op8_line_dedup, op9_resharding, op10_quality_rules)}
 
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
