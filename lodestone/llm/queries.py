@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, pii, quality, resharding, token_shards, warc
+from . import line_dedup, ngram_join, packing, pii, quality, resharding, token_shards, warc
 from .common import Scratch, read
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents").select("doc_id", "text"), Scratch(spark, "ngrams"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "warc")
     out = scratch.path("archives")
@@ -70,7 +74,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_warc, op5_token_shards, op6_pii, op7_packing, op8_line_dedup, op9_resharding, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_warc, op5_token_shards, op6_pii, op7_packing, op8_line_dedup, op9_resharding, op10_quality_rules)}
 
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
