@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, ngram_join, packing, pii, quality, resharding, token_shards, warc
+from . import decontaminate, license_scan, line_dedup, ngram_join, packing, pii, quality, resharding, token_shards, warc
 from .common import Scratch, read
 
 
@@ -22,6 +22,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(warc.write(pages, out, scratch), out)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "tokens")
     out = scratch.path("shards")
@@ -74,7 +82,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_join, op2_warc, op5_token_shards, op6_pii, op7_packing, op8_line_dedup, op9_resharding, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_ngram_join, op2_warc, op3_license_scan, op4_decontamination, op5_token_shards, op6_pii, op7_packing, op8_line_dedup, op9_resharding, op10_quality_rules)}
 
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
