@@ -30,9 +30,9 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def only(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns alone, so that extra columns of the input can't clash."""
-    return df.select(*columns)
+def has_word(line: Column) -> Column:
+    """Whether anything but white space is in a line."""
+    return F.length(F.ltrim(line, F.lit(" \t\n\x0b\x0c\r"))) > 0
 
 
 class Scratch:

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, words
+from .common import Scratch, has_word, words
 
 MIN_WORDS = 5
 SALTS = 16
@@ -47,7 +47,7 @@ def _key(docs: DataFrame) -> DataFrame:
 def line_ids(docs: DataFrame) -> DataFrame:
     """d, th, p (place among lines with a word), line (place among all), c1, c2 (id), before, after (words up to the line and past it)."""
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("x")))
-    worded = F.filter(lines, lambda s: s["x"].rlike(r"[^\x20\x09-\x0D]"))
+    worded = F.filter(lines, lambda s: has_word(s["x"]))
     rows = _key(docs).select(*_DOC, F.posexplode(worded).alias("p", "s"))
     c1, c2 = _pair(F.col("s.x"))
     rows = rows.select(*_AT, F.col("s.line").alias("line"), c1.alias("c1"), c2.alias("c2"), F.size(words(F.col("s.x"))).alias("n"))
@@ -139,19 +139,15 @@ def dedup(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS) -> Data
     """docs with the lines deleted from `text`, and n_lines (with a word), n_deleted."""
     gone = deleted_lines(docs, scratch, min_words)
     plain = docs.drop("d", "th", "gone", "n_lines", "n_deleted")
-    out = _key(plain).join(gone, list(_DOC), "left").drop(*_DOC)
-    parts = F.split("text", "\n")
-    left = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone")), lambda i: F.get(parts, i)
-    )
-    worded = F.filter(parts, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(worded))
-    joined = F.array_join(left, "\n")
-    rest = F.when(joined.rlike(r"[^\x20\x09-\x0D]"), joined).otherwise(F.lit(""))
+    out = _key(plain).join(gone, list(_DOC), "left").drop(*_DOC).withColumn("_parts", F.split("text", "\n"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_parts") - 1), F.col("gone"))
+    rest = F.array_join(F.transform(left, lambda i: F.get(F.col("_parts"), i)), "\n")
+    out = out.withColumn("_rest", F.when(F.col("gone").isNotNull(), rest))
+    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.filter("_parts", has_word)))
     return out.withColumns(
         {
             "n_lines": n_lines.cast("long"),
             "n_deleted": F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long"),
-            "text": F.when(F.col("gone").isNull(), F.col("text")).otherwise(rest),
+            "text": F.when(F.col("gone").isNull(), F.col("text")).when(has_word(F.col("_rest")), F.col("_rest")).otherwise(F.lit("")),
         }
-    ).drop("gone")
+    ).drop("gone", "_parts", "_rest")

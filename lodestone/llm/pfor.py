@@ -21,7 +21,7 @@ import numpy as np
 BLOCK = 128
 PERCENTILE = 0.90
 _HEAD = struct.Struct("<4sIQQQ")
-_CHUNK = 2048  # blocks at a time, for a bounded working set
+_CHUNK = 512  # blocks at a time, for a bounded working set
 
 
 def _bits(x: np.ndarray) -> np.ndarray:

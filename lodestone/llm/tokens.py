@@ -10,10 +10,12 @@ from __future__ import annotations
 import functools
 import os
 import zlib
+from array import array
 
-import numpy as np
-
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 600_000
+#: Punctuation that is stripped off a word; letters below are the same in all normal forms.
+PUNCTUATION, PLAIN_BELOW = ".,;:!?*$%&#|", "\u0250"
+_U32 = "I"
 
 
 class _Chunks(dict):
@@ -21,9 +23,11 @@ class _Chunks(dict):
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.encode = Tokenizer.from_file(path).encode
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.word = tokenizer.encode, tokenizer.model.tokenize
+        self.spelt = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
     def __missing__(self, chunk: str) -> bytes:
         out = self._parts(chunk)
@@ -32,13 +36,21 @@ class _Chunks(dict):
         return out
 
     def _parts(self, chunk: str) -> bytes:
-        # A final comma or stop after a letter is a piece of its own, and ASCII case is dropped: both
-        # reduce to chunks that are likely cached. "<" may open a special token's string.
-        if chunk[-1:] in (",", ".") and chunk[-2:-1].isalpha():
-            return self[chunk[:-1]] + self[chunk[-1]]
+        # Three kinds of chunk need no full pass. Punctuation after a letter is a piece of its own; ASCII
+        # case is dropped ("<" may open a special token's string); and a word of lower-case Latin letters
+        # is one piece that the vocabulary's normaliser leaves alone, so the model takes it as it is.
+        if chunk.isalpha():
+            if chunk.islower() and max(chunk) < PLAIN_BELOW:
+                word = chunk if chunk.isascii() else self.spelt(chunk)[0][0]
+                return array(_U32, [t.id for t in self.word(word)]).tobytes()
+        elif (stem := chunk.rstrip(PUNCTUATION)) and stem[-1].lower().isalpha():
+            return self[stem] + self[chunk[len(stem) :]] if stem != chunk else self._whole(chunk)
         if chunk.isascii() and "<" not in chunk and (lower := chunk.lower()) != chunk:
             return self[lower]
-        return np.array(self.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._whole(chunk)
+
+    def _whole(self, chunk: str) -> bytes:
+        return array(_U32, self.encode(chunk, add_special_tokens=False).ids).tobytes()
 
 
 _chunks = functools.cache(_Chunks)
