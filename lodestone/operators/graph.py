@@ -14,20 +14,22 @@ def shared_folder(spark) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """df, written and read back."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def components(edges: DataFrame, folder: str | None = None) -> DataFrame:
     """node, root of edges (a, b): root is the least node that a node is connected to.
 
     Each round is written to the shared folder, so lineage stays short and a lost executor costs one round.
     Rounds are few: labels jump to their label's label, which halves the distance each time.
     """
-    spark, folder = edges.sparkSession, folder or shared_folder(edges.sparkSession)
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    folder = folder or shared_folder(edges.sparkSession)
 
-    both = kept(edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "near").filter("node <> near").distinct(), "edges")
-    labels = kept(both.groupBy("node").agg(F.least(F.min("near"), "node").alias("root")), "labels0")
+    both = kept(edges.select("a", "b").union(edges.select("b", "a")).toDF("node", "near").filter("node <> near").distinct(), f"{folder}/edges")
+    labels = kept(both.groupBy("node").agg(F.least(F.min("near"), "node").alias("root")), f"{folder}/labels0")
     turn = 0
     while True:
         turn += 1
@@ -36,7 +38,7 @@ def components(edges: DataFrame, folder: str | None = None) -> DataFrame:
         hooked = labels.join(offers, "node").select("node", "root", F.least("root", "offer").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("root").alias("beyond"))
         out = hooked.join(jump, "next", "left").select("node", "root", F.least("next", F.coalesce("beyond", "next")).alias("new"))
-        step = kept(out, f"labels{turn}")
+        step = kept(out, f"{folder}/labels{turn}")
         labels = step.select("node", F.col("new").alias("root"))
         if step.filter("new <> root").isEmpty():
             return labels

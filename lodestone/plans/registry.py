@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import catalog, change_queries, metric_queries, report_queries, sample_queries, text_queries, theme_queries  # noqa: F401
 
-from pyspark.sql import DataFrame, SparkSession
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-
-def queries() -> dict[str, Query]:
-    return {}
+def queries() -> dict[str, catalog.Query]:
+    return dict(catalog.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(catalog.SQL)
