@@ -17,13 +17,13 @@ def files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
 
 def texts(spark: SparkSession, path: str) -> DataFrame:
     """path, text: whole files as trimmed text; bytes that aren't UTF-8 are replaced."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    rows = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     return rows.select(F.input_file_name().alias("path"), T.stripped(F.col("value")).alias("text"))
 
 
 def delimited(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
     """path, text: a file's rows as lines, the cells trimmed and joined by a bar."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    rows = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     lines = F.transform(F.split("value", r"\r?\n"), lambda x: T.csv_line(F.split(x, F.lit(separator))))
     return rows.select(F.input_file_name().alias("path"), F.array_join(F.filter(lines, lambda x: x != ""), "\n").alias("text"))
 
