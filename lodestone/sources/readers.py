@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import pyspark.sql.functions as F
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.changes import latest
@@ -30,8 +31,6 @@ def delimited(spark: SparkSession, path: str, separator: str = ",") -> DataFrame
 
 def xml_structure(documents: DataFrame, xml: str = "xml", limit: int = 8000) -> DataFrame:
     """documents with `structure`: the sorted set of element and @attribute paths; the raw text where XML doesn't parse."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def paths(column: pd.Series) -> pd.Series:
         from xml.etree import ElementTree
