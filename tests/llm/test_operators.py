@@ -1,0 +1,265 @@
+"""The training-data operators against brute force or exact round trips, on small awkward tables."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lodestone.llm import decontaminate, license_scan, line_dedup, ngram_join, packing, pfor, pii, quality, resharding, token_shards, warc
+from lodestone.llm.common import Scratch, tokenizer_path
+
+DOCS = "doc_id long, text string, n long, spans string"
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def frame(spark, texts):
+    """Texts as documents, with extra columns whose names clash with results."""
+    return spark.createDataFrame([(i, t, 7, "x") for i, t in enumerate(texts)], DOCS)
+
+
+def some_texts(seed=1):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    base = [[word() for _ in range(rng.randrange(30, 90))] for _ in range(12)]
+    near = [b[:-1] + [word()] for b in base[:6]] + [[word()] + b for b in base[:3]]
+    passage = [word() for _ in range(70)]
+    shared = [passage + [word() for _ in range(k)] for k in range(1, 14)]
+    out = [" ".join(w) for w in base + near + shared]
+    return [*out, out[0], out[0].upper(), None, "", " \n\t", "one two", "ONE two", "one two three", " ".join([word() for _ in range(4000)])]
+
+
+def jaccard_components(texts, n, percent):
+    sets = []
+    for t in texts:
+        w = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set())
+    root = list(range(len(texts)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                x, y = sorted((top(i), top(j)))
+                root[y] = x
+    return {i: (len(s), top(i)) for i, s in enumerate(sets)}
+
+
+@pytest.mark.parametrize("n, percent", [(4, 85), (5, 80)])
+def test_ngram_join_is_all_pairs(spark, n, percent):
+    texts = some_texts()
+    got = ngram_join.join(frame(spark, texts), Scratch(spark, "t"), n, percent).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_components(texts, n, percent)
+
+
+def test_ngram_join_of_an_empty_table(spark):
+    assert ngram_join.join(frame(spark, []), Scratch(spark, "t")).collect() == []
+
+
+def test_warc_round_trip(spark):
+    long = "<p>é" + "x" * 200
+    rows = [(5, "http://a/é\r\n", long), (3, None, long), (9, "u", "short"), (1, "u", "short"), (4, "u", None), (7, "u", ""), (8, "u", "y" * 97 + "é")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    scratch = Scratch(spark, "t")
+    got = {r["page_id"]: tuple(r)[1:] for r in warc.read(warc.write(pages, scratch.path("a"), scratch), scratch.path("a")).collect()}
+    for page, _, html in rows:
+        raw = (html or "").encode()
+        kind = ("revisit", 3) if page == 5 else ("response", None)
+        assert got[page] == (len(raw), hashlib.sha256(raw).hexdigest(), *kind)
+
+
+def test_warc_records_open_alone():
+    records = [warc.record(i, "u", b"payload %d " % i * 50, "0" * 64, None) for i in range(40)]
+    frames = list(warc.compress(records))
+    assert frames[0][:4] == warc.DICTIONARY_FRAME.to_bytes(4, "little")
+    import zstandard
+
+    words = zstandard.ZstdCompressionDict(frames[0][8:])
+    assert [zstandard.ZstdDecompressor(dict_data=words).decompress(f) for f in frames[1:]] == records
+
+
+def test_license_scan(spark):
+    grant = next(t for n, k, t in license_scan.TEMPLATES if n == "MIT" and k == "text")
+    texts = ["word " * 300 + grant.upper() + " tail" * 50, "nothing here", None, "", "Released under the MIT License.", grant.replace("software", "program", 1)]
+    got = {(r["doc_id"], r["license_id"]) for r in license_scan.scan(frame(spark, texts)).collect()}
+    assert {(0, "MIT"), (4, "MIT"), (5, "MIT")} <= got
+    assert not {d for d, _ in got} & {1, 2, 3}
+
+
+def test_decontamination_finds_what_brute_force_finds(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    items = [" ".join(word() for _ in range(n)) for n in (25, 40, 60, 3)]
+    noise = lambda n: " ".join(word() for _ in range(n))
+    changed = items[1].split()
+    changed[20] = "zzz"
+    texts = [noise(50) + " " + items[0] + ". " + noise(9), noise(30) + " " + " ".join(changed), noise(200), None, "", items[2].upper(), noise(5) + " " + items[3], items[1][: len(items[1]) // 2]]
+    bench = spark.createDataFrame(list(enumerate([*items, None])), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.find(frame(spark, texts), bench).collect()}
+
+    def best(text, item):
+        a, b = decontaminate.word_hashes(text), decontaminate.word_hashes(item)
+        if not len(b) or len(a) < len(b):
+            return 0
+        weights = Counter(decontaminate.shingles(b).tolist())
+        k = min(5, len(b))
+        return max(decontaminate.similarity(Counter(decontaminate.shingles(a[i : i + len(b)], k).tolist()), weights) for i in range(len(a) - len(b) + 1))
+
+    want = {(d, i): round(s, 6) for d, t in enumerate(texts) for i, x in enumerate(items) if (s := best(t, x)) >= 0.8}
+    assert got == want
+    assert sorted(r["doc_id"] for r in decontaminate.clean(frame(spark, texts), bench).collect()) == [1, 2, 3, 4, 7]
+
+
+@pytest.mark.parametrize("ids", [[], [0], [2**32 - 1] * 5, list(range(1000)), [7] * 127 + [2**31], [3, 1, 4, 1, 5, 9, 2, 6] * 100])
+def test_frame_of_reference_round_trip(ids):
+    raw = np.array(ids, np.uint32)
+    doc_ids, lengths, out = pfor.load(pfor.dump([None, 4], [len(ids), 0], raw))
+    assert doc_ids == [None, 4] and lengths.tolist() == [len(ids), 0] and out.tolist() == ids
+
+
+def encoded(text):
+    from tokenizers import Tokenizer
+
+    encoded.t = getattr(encoded, "t", None) or Tokenizer.from_file(tokenizer_path())
+    return encoded.t.encode(text or "", add_special_tokens=False).ids
+
+
+STRANGE = ["Don't stop!!", "ÀÉÎ ñ ß ẞ İ ŉ", "a<|endoftext|>b <|startoftext|>", "１２３ ½ ² ℃", "日本語 テスト", "é x​y", "tab\tvt\x0bff\x0c\r\nz q w", "http://x.y/?a=1&b=2 a@b.c", "it's we'll I'M THEY'VE", "🙂🙂 👩‍👩‍👧", "\x00 \x1f\x85", "...,,;;::", "A" * 300, "ǅ ﬁ Ǆ ſ K Å", "x_y-z/w (q) [r]", "1,000.50 3rd 4x4"]
+
+
+def test_tokens_and_shards(spark):
+    texts = [*STRANGE, None, "", " ", " ".join(STRANGE)]
+    scratch = Scratch(spark, "t")
+    docs = frame(spark, texts)
+    got = token_shards.read(token_shards.write(docs.repartition(3), scratch.path("s"), scratch), scratch.path("s")).orderBy("doc_id").collect()
+    start = 0
+    for r, text in zip(got, texts, strict=True):
+        ids = np.array([*encoded(text), 2], "<u4")
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (start, len(ids), zlib.crc32(ids.tobytes())), text
+        start += len(ids)
+
+
+def test_packing(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["the", "of", "xyzzy", "data"]) for _ in range(rng.choice([1, 50, 900, 3000, 9000]))) for _ in range(60)] + [None, ""]
+    got = packing.pack(packing.pieces(frame(spark, texts)), Scratch(spark, "t"), target=20).collect()
+    bins: dict[int, list] = {}
+    for r in got:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in bins.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 4096
+    pieces = {(r["doc_id"], r["piece"]): r for r in got}
+    assert len(pieces) == len(got)
+    for i, t in enumerate(texts):
+        ids = np.array([*encoded(t), 1], "<u4")
+        for k, lo in enumerate(range(0, len(ids), 4096)):
+            part = ids[lo : lo + 4096]
+            assert (pieces[i, k]["start"], pieces[i, k]["length"], pieces[i, k]["ids_crc32"]) == (lo, len(part), zlib.crc32(part.tobytes()))
+    assert len(bins) <= got[0]["least_sequences"] + 1
+
+
+def test_pii_base_spans(spark):
+    texts = ["a.b@c.de, x@y z", "1.2.3.4 300.1.1.1 01.02.03.004", "4111 1111 1111 1111 and 4111-1111-1111-1112", "call +1 (555) 123-4567 or +12 34", None, "", "🙂 q@r.st"]
+    got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in pii.find(frame(spark, texts), Scratch(spark, "t")).collect()}
+    assert got == {
+        0: [("email", 0, 8)], 1: [("ip", 0, 7), ("ip", 18, 30)], 2: [("card", 0, 19)], 3: [("phone", 5, 22)], 4: [], 5: [], 6: [("email", 2, 8)],
+    }
+
+
+def test_pii_terms_disclose(spark):
+    rows = [f"note{i} about zanzibar owner bob@mail.com today w{i}" for i in range(4)] + [f"plain text number{i} about today" for i in range(40)]
+    got = pii.find(frame(spark, rows), Scratch(spark, "t")).filter("doc_id = 0").first()
+    words = {rows[0][s["start"] : s["end"]] for s in got["spans"] if s["kind"] == "term"}
+    assert "zanzibar" in words and "about" not in words and "today" not in words
+    out = spark.createDataFrame([got], pii.find(frame(spark, rows), Scratch(spark, "t")).schema)
+    assert "bob@mail.com" not in out.select(pii.sanitised(F.col("text"), F.col("spans")).alias("t")).first()["t"]
+
+
+def deduped(texts, least=5):
+    """A line goes if a run that holds it, of enough words, begins at an earlier place too."""
+    lines = [[x for x in (t or "").split("\n") if WORDS.search(x)] for t in texts]
+    gone = [set() for _ in texts]
+    for d, own in enumerate(lines):
+        for p in range(len(own)):
+            longest = 0
+            for e in range(d + 1):
+                for q in range(len(lines[e]) if e < d else p):
+                    m = 0
+                    while p + m < len(own) and q + m < len(lines[e]) and own[p + m] == lines[e][q + m]:
+                        m += 1
+                    longest = max(longest, m)
+            if sum(len(WORDS.findall(x)) for x in own[p : p + longest]) >= least:
+                gone[d].update(range(p, p + longest))
+    return [len(g) for g in gone]
+
+
+def test_line_dedup_is_brute_force(spark):
+    rng = random.Random(6)
+    pool = [" ".join(rng.choice("abcdefg") * 3 for _ in range(rng.randrange(1, 4))) for _ in range(7)]
+    texts = ["\n".join(rng.choice([*pool, "", "  "]) for _ in range(rng.randrange(1, 14))) for _ in range(14)] + ["a b c d e", "a b c d e", None, "", "\n\n", "x\nx\nx\nx\nx\nx\nx"]
+    got = {r["doc_id"]: r for r in line_dedup.dedup(frame(spark, texts), Scratch(spark, "t")).collect()}
+    want = deduped(texts)
+    assert [got[i]["n_deleted"] for i in range(len(texts))] == want
+    assert got[16]["text"] is None and got[15]["text"] == ""
+    for i, t in enumerate(texts):
+        if not want[i]:
+            assert got[i]["text"] == t
+
+
+def test_resharding(spark):
+    rng = random.Random(8)
+    rows = [(i, "x" * rng.randrange(0, 400), 0 if i % 3 else i % 4) for i in range(4000)] + [(9000, None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, old int")
+    scratch = Scratch(spark, "t")
+    out, moved = resharding.reshard(docs, scratch.path("o"), scratch, id_column="doc_id", text_column="text", old_shard="old", shards=4)
+    got = out.collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(r[0] for r in rows)
+    sizes, slots = Counter(), {}
+    for r in got:
+        sizes[r["shard"]] += len(r["text"] or "") + 1
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert max(sizes.values()) - min(sizes.values()) <= 0.02 * sum(sizes.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    old = Counter()
+    for _, text, shard in rows:
+        old[shard] += len(text or "") + 1
+    surplus = sum(max(0, n - sum(old.values()) // 4 - 1) for n in old.values())
+    assert sum(t.size for t in moved if t.source != t.target) <= surplus + 4
+
+
+def test_quality_counts(spark):
+    def counts(t):
+        w = WORDS.findall(t or "")
+        windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+        many = Counter(windows)
+        hit = {i + k for i, x in enumerate(windows) if many[x] > 1 for k in range(5)}
+        lines = [x for x in (t or "").split("\n") if WORDS.search(x)]
+        return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t or ""), len(lines) - len(set(lines)), len(hit)
+
+    texts = [None, "", "\x85  ", "a b c d e f\na b c d e f\n", "a " * 30, "one # two $ <three>\n\none # two $ <three>", " ".join(map(str, range(60))), "x\r\nx\r\nx"]
+    for r in quality.judge(frame(spark, texts)).collect():
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == counts(texts[r["doc_id"]]), r["doc_id"]
+
+
+def test_empty_tables(spark):
+    docs, scratch = frame(spark, []), Scratch(spark, "t")
+    bench = spark.createDataFrame([], "item_id long, text string")
+    assert quality.judge(docs).collect() == []
+    assert license_scan.scan(docs).collect() == []
+    assert decontaminate.find(docs, bench).collect() == []
+    assert pii.find(docs, scratch).collect() == []
+    assert line_dedup.dedup(docs, scratch).collect() == []
+    assert packing.pack(packing.pieces(docs), scratch).collect() == []
+    assert token_shards.read(token_shards.write(docs, scratch.path("e"), scratch), scratch.path("e")).collect() == []
