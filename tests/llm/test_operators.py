@@ -60,6 +60,34 @@ def test_ngram_join_is_all_pairs(spark, n, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_components(texts, n, percent)
 
 
+def near_the_bound(seed=3):
+    """A base and many copies of it, each changed on its own: some link, most are a little too far apart."""
+    rng = random.Random(seed)
+    base = [str(rng.randrange(10**6)) for _ in range(120)]
+    out = [" ".join(base)]
+    for k in range(90):
+        copy = list(base)
+        for at in rng.sample(range(120), 1 + k % 7):
+            copy[at] = f"w{rng.randrange(10**6)}"
+        out.append(" ".join(copy))
+    return out
+
+
+def test_ngram_join_of_one_large_group(spark):
+    texts = near_the_bound()
+    got = ngram_join.join(frame(spark, texts), Scratch(spark, "t")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_components(texts, 4, 85)
+
+
+def test_differing_parities_are_at_most_the_ngrams_not_shared():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        both, one, other = (rng.integers(0, 1 << 62, rng.integers(0, 400)) for _ in range(3))
+        a, b = (np.unique(np.concatenate([both, x])) for x in (one, other))
+        differ = sum(int(w).bit_count() for w in (ngram_join.parities(a) ^ ngram_join.parities(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b))
+
+
 def test_ngram_join_of_an_empty_table(spark):
     assert ngram_join.join(frame(spark, []), Scratch(spark, "t")).collect() == []
 
