@@ -106,11 +106,12 @@ def reshard(
     rows: DataFrame, out: str, scratch: Scratch, *, id_column: str, text_column: str, old_shard: str, shards: int,
     blocks: int = BLOCKS, file_bytes: int = FILE_BYTES,
 ) -> tuple[DataFrame, list[Transfer]]:
-    """Rewrite rows below `out`, one folder a shard; the written rows with `shard`, `slot` and `moved`, and the transfers.
+    """Rewrite rows below `out`, one folder a shard; all rows with `shard`, `slot` and `moved`, and the transfers.
 
     Input columns named like the results are replaced.
 
-    Shards that neither send nor get a block are left out of what is written: their files stand.
+    Shards that neither send nor get a block are left out of what is written: their files stand, and their
+    rows come from the input.
     """
     spark = rows.sparkSession
     rows = rows.drop(*({"shard", "slot", "moved"} - {id_column, text_column, old_shard}))
@@ -132,8 +133,6 @@ def reshard(
     # Blocks of a shard go to groups of about a file's bytes; a group's rows get consecutive slots.
     plan, filled, at, group = [], {}, {}, {}
     for key, target in sorted(to.items(), key=lambda x: (x[1], x[0])):
-        if target not in changed:
-            continue
         if filled.get(target, 0) >= file_bytes:
             filled[target] = 0
             group[target] = group.get(target, 0) + 1
@@ -142,12 +141,17 @@ def reshard(
         plan.append((*key, target, g, at.get(target, 0), int(key[0] != target)))
         at[target] = at.get(target, 0) + rows_of[key]
     schema = "_old int, _block int, shard int, _group int, _base long, moved int"
-    plan_table = spark.createDataFrame(plan, schema)
-    placed = marked.withColumn("_old", F.col("_old").cast("int")).join(F.broadcast(plan_table), ["_old", "_block"])
+    marked = marked.withColumn("_old", F.col("_old").cast("int"))
     # A block is a small, even part of a shard: its rows are numbered by one sort in one task.
     order = Window.partitionBy("shard", "_group", "_old", "_block").orderBy(F.col(id_column), F.col(text_column))
-    placed = placed.repartition("shard", "_group")
-    slots = placed.withColumn("slot", F.col("_base") + F.row_number().over(order) - 1)
-    slots = slots.drop("_old", "_block", "_group", "_base", "_size", old_shard).withColumn("moved", F.col("moved") == 1)
-    slots.write.mode("overwrite").partitionBy("shard").option("compression", "zstd").parquet(out)
-    return spark.read.schema(slots.schema).parquet(out), transfers
+
+    def slots(part: list[tuple]) -> DataFrame:
+        placed = marked.join(F.broadcast(spark.createDataFrame(part, schema)), ["_old", "_block"]).repartition("shard", "_group")
+        numbered = placed.withColumn("slot", F.col("_base") + F.row_number().over(order) - 1)
+        return numbered.drop("_old", "_block", "_group", "_base", "_size", old_shard).withColumn("moved", F.col("moved") == 1)
+
+    rewritten = slots([p for p in plan if p[2] in changed])
+    rewritten.write.mode("overwrite").partitionBy("shard").option("compression", "zstd").parquet(out)
+    written = spark.read.schema(rewritten.schema).parquet(out)
+    standing = [p for p in plan if p[2] not in changed]
+    return written.unionByName(slots(standing)) if standing else written, transfers

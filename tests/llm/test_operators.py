@@ -267,6 +267,28 @@ def test_resharding(spark):
     assert sum(t.size for t in moved if t.source != t.target) <= surplus + 4
 
 
+EVEN = [(i, "x" * 9, i % 16) for i in range(320)]
+PARTLY = [(i, "x" * (400 if i % 4 == 0 else 99), i % 4) for i in range(1200) if i % 4 < 2 or i < 1000]
+
+
+@pytest.mark.parametrize("rows, shards", [(EVEN, 16), ([(1, "x" * 31, 3)], 16), ([(1, None, 0), (2, "", 0)], 1), ([], 4), (PARTLY, 5), ([(i, "x", i % 3) for i in range(90)] + [(i, "x", 0) for i in range(90, 130)] + [(i, "x", 3) for i in range(130, 160)], 4)])
+def test_resharding_returns_the_rows_of_all_shards(spark, rows, shards):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, old int")
+    scratch = Scratch(spark, "t")
+    out, _ = resharding.reshard(docs, scratch.path("o"), scratch, id_column="doc_id", text_column="text", old_shard="old", shards=shards)
+    got = out.collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in got) == sorted((i, t or "") for i, t, _ in rows)
+    slots, old = {}, {i: s for i, _, s in rows}
+    for r in got:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+        assert r["moved"] == (r["shard"] != old[r["doc_id"]])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # Shards that neither send nor get rows aren't written.
+    touched = {s for r in got if r["moved"] for s in (r["shard"], old[r["doc_id"]])}
+    written = spark.read.schema(out.schema).parquet(scratch.path("o")).select("shard").distinct().collect()
+    assert {r["shard"] for r in written} == touched & set(slots)
+
+
 def test_quality_counts(spark):
     def counts(t):
         w = WORDS.findall(t or "")
