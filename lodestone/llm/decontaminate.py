@@ -10,6 +10,9 @@ sum of the lesser weights over sum of the greater ones.
 At the threshold of 0.8 two windows of equal size differ in about 10 of 64 bits; a radius of 20 is more
 than three standard deviations beyond, and exact copies differ in none.
 
+A text shorter than an item is one window. Its shingles are looked up in those of the items, and items
+that it shares enough with are verified at any distance.
+
 The benchmark is sent to the executors in blocks of bounded size, and each block is held against all texts
 in one pass without a shuffle.
 
@@ -47,6 +50,7 @@ class Match(NamedTuple):
     start: int
     similarity: float
     distance: int
+    words: int
 
 
 def word_hashes(text: str | None) -> np.ndarray:
@@ -112,6 +116,15 @@ class Items:
             for k, (shift, mask) in enumerate(self.blocks):
                 self.table[n, k, self.prints[i] >> shift & mask].append(i)
         self.sizes_of = dict(owners)
+        self.longest = max(self.sizes, default=0)
+        # Each item's different shingles in order, to hold short texts against.
+        distinct = [np.unique(g) for g in grams]
+        flat = np.concatenate([np.empty(0, np.uint64), *distinct])
+        order = np.argsort(flat, kind="stable")
+        self.postings = flat[order]
+        self.posting_items = np.repeat(np.arange(len(grams)), [len(g) for g in distinct])[order]
+        self.n_grams = np.array([len(g) for g in grams], np.int64)
+        self.n_words = np.array(self.sizes, np.int64)
         for k, parts in by_length.items():
             self.known[k] = np.unique(np.concatenate(parts))
             self.slots[k] = np.zeros(_SLOTS, bool)
@@ -137,9 +150,29 @@ class Items:
                     if min(n, SHINGLE) == k:
                         places[n].append(p)
             for n, at in places.items():
-                self._around(grams, n, n - k + 1, at, best)
+                if n <= len(words):
+                    self._around(grams, n, n - k + 1, at, best)
+            if k == SHINGLE and len(words) < self.longest and len(hits):
+                self._whole(grams, grams[hits], len(words), best)
         return [best[i] for i in sorted(best)]
 
+    def _whole(self, grams: np.ndarray, hits: np.ndarray, n: int, best: dict[int, Match]) -> None:
+        """A text of n words and `grams` against all longer items, by its shingles that items have."""
+        values, weights = np.unique(hits, return_counts=True)
+        lo, hi = np.searchsorted(self.postings, values), np.searchsorted(self.postings, values, "right")
+        counts = hi - lo
+        at = np.repeat(lo - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        items, which = np.unique(self.posting_items[at], return_inverse=True)
+        # At least what is common; a shingle may stand in the item less often than here.
+        common = np.bincount(which, np.repeat(weights, counts), len(items))
+        enough = common * (1 + self.threshold) >= self.threshold * (len(grams) + self.n_grams[items]) - 1e-9
+        own = Counter(grams.tolist())
+        for item in items[enough & (self.n_words[items] > n)].tolist():
+            score = similarity(own, self.weights[item])
+            if score >= self.threshold:
+                distance = (int(fingerprints(grams, len(grams))[0]) ^ self.prints[item]).bit_count()
+                best[item] = Match(item, 0, score, distance, n)
+
     def _around(self, grams: np.ndarray, n: int, size: int, at: list[int], best: dict[int, Match]) -> None:
         """Windows of `size` shingles, an item's, that hold a shingle at one of the places."""
         last = len(grams) - size
@@ -171,7 +204,7 @@ class Items:
                 continue
             score = similarity(Counter(grams[lo + w : lo + w + size].tolist()), self.weights[item])
             if score >= self.threshold and (known is None or score > known.similarity):
-                best[item] = Match(item, lo + w, score, distance)
+                best[item] = Match(item, lo + w, score, distance, n)
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[tuple[list, list]]:
@@ -192,7 +225,7 @@ def find(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, ra
             items = Items(texts, threshold, radius)
             for batch in batches:
                 found = [
-                    (doc_id, ids[m.item], m.start, items.sizes[m.item], round(m.similarity, 6), m.distance)
+                    (doc_id, ids[m.item], m.start, m.words, round(m.similarity, 6), m.distance)
                     for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
                     for m in items.matches(text)
                 ]

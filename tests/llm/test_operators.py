@@ -146,6 +146,30 @@ def test_decontamination_finds_what_brute_force_finds(spark):
     assert sorted(r["doc_id"] for r in decontaminate.clean(frame(spark, texts), bench).collect()) == [1, 2, 3, 4, 7]
 
 
+def test_decontamination_of_texts_shorter_than_the_item(spark):
+    rng = random.Random(11)
+    words = lambda n: [rng.choice("abcdefgh") + str(rng.randrange(400)) for _ in range(n)]
+    items = [words(59), words(60), words(9), words(12), ["x", "y", "z"], words(5)]
+    items += [items[0][:50] + words(12), words(6) * 9]
+    texts = [x[a : len(x) - b] for x in items for a in range(5) for b in range(12) if a + b < len(x)]
+    texts += [x[: len(x) // 2] + ["zzz"] + x[len(x) // 2 + 1 : -c] for x in items for c in range(1, 6)]
+    lines, bench_lines = [" ".join(t) for t in texts], [" ".join(x) for x in items]
+    bench = spark.createDataFrame(list(enumerate(bench_lines)), "item_id long, text string")
+    found = decontaminate.find(frame(spark, lines), bench).collect()
+
+    def best(text, item):
+        k, n = min(5, len(item)), min(len(text), len(item))
+        grams = lambda w: Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+        return max(decontaminate.similarity(grams(text[i : i + n]), grams(item)) for i in range(len(text) - n + 1))
+
+    want = {(d, i): round(s, 6) for d, t in enumerate(texts) for i, x in enumerate(items) if len(t) < len(x) and (s := best(t, x)) >= 0.8}
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found if len(texts[r["doc_id"]]) < len(items[r["item_id"]])}
+    assert len(want) > 50 and got == want
+    assert all(r["start_word"] + r["n_words"] <= len(texts[r["doc_id"]]) for r in found)
+    left = {r["doc_id"] for r in decontaminate.clean(frame(spark, lines), bench).collect()}
+    assert not left & {d for d, _ in want}
+
+
 @pytest.mark.parametrize("ids", [[], [0], [2**32 - 1] * 5, list(range(1000)), [7] * 127 + [2**31], [3, 1, 4, 1, 5, 9, 2, 6] * 100])
 def test_frame_of_reference_round_trip(ids):
     raw = np.array(ids, np.uint32)
