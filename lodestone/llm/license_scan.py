@@ -1,13 +1,15 @@
 """License scan: normalised text against licence templates by Dice over word bigrams.
 
 A text and the templates become words of letters and digits in lower case. Where bigrams of a template
-stand in a text, windows of the template's size are scored by
+stand in a text, all windows that can reach the threshold are scored by
 
     dice = 2 * common bigrams / (bigrams of the window + bigrams of the template)
 
 on multisets. Sizes bound it: a window with c of the template's bigrams in it can't score over
 2c / (c + m) for a template of m bigrams, so a template is left aside unless a text has enough of its
-bigrams, and a window is unless it has. Templates are a fixed list; each text is scored in its own row,
+bigrams, and a window is unless it has; one of s bigrams can't score over 2m / (s + m), so at 0.8 windows
+have 2m/3 to 3m/2. Only windows that begin and end at a hit count: others score less than the one of these
+within them. Templates are a fixed list; each text is scored in its own row,
 so nothing is shuffled and a hot source costs no more than its own texts.
 
 Defined results: a null or empty text has no licence; of overlapping windows for one licence the best,
@@ -108,30 +110,47 @@ class Templates:
             return []
         place, gram = np.array(hits).T
         total = np.bincount(gram, minlength=len(self.number))
-        found = []
-        for t in np.flatnonzero(np.minimum(self.held, total).sum(1) >= self.least):
+        found: dict[str, list[np.ndarray]] = {}
+        for t in np.flatnonzero(np.minimum(self.held, total).sum(1) >= self.least).tolist():
             own = self.held[t, gram] > 0
-            found += self._windows(int(t), place[own], gram[own])
+            found.setdefault(self.names[t][0], []).extend(self._windows(t, place[own], gram[own]))
         out: list[tuple[int, float, int, int]] = []
-        for f in sorted(found, key=lambda f: (-f[1], f[2], f[0])):
-            same = (g for g in out if self.names[g[0]][0] == self.names[f[0]][0])
-            if all(f[3] <= g[2] or g[3] <= f[2] for g in same):
-                out.append(f)
+        for parts in found.values():
+            if not parts:
+                continue
+            dice, start, t, end = np.concatenate(parts, axis=1)
+            order = np.lexsort((end, t, start, -dice))
+            dice, start, t, end = dice[order], start[order], t[order], end[order]
+            # The best goes out and those that overlap it go, until none is left.
+            while len(dice):
+                out.append((int(t[0]), float(dice[0]), int(start[0]), int(end[0])))
+                apart = (end <= start[0]) | (start >= end[0])
+                dice, start, t, end = dice[apart], start[apart], t[apart], end[apart]
         return sorted(out, key=lambda f: (f[2], f[0]))
 
-    def _windows(self, t: int, place: np.ndarray, gram: np.ndarray) -> list[tuple[int, float, int, int]]:
-        """Windows of one template at or above the threshold."""
+    def _windows(self, t: int, place: np.ndarray, gram: np.ndarray) -> list[np.ndarray]:
+        """dice, first word, template, end word of all windows of one template at or above the threshold."""
         m, least, found = int(self.sizes[t]), int(self.least[t]), []
-        # Windows begin at a hit; those with too few hits within the template's size are passed over.
-        ends = np.searchsorted(place, place + m)
-        for i in np.flatnonzero(ends - np.arange(len(place)) >= least):
-            inside = gram[i : ends[i]]
-            # The window ends at its last hit, so a text around it doesn't lower the score.
-            common = int(np.minimum(np.bincount(inside, minlength=len(self.number)), self.held[t]).sum())
-            size = int(place[ends[i] - 1] - place[i]) + 1
-            dice = 2 * common / (size + m)
-            if dice >= self.threshold:
-                found.append((t, dice, int(place[i]), int(place[i]) + size + 1))
+        widest = int(m * (2 - self.threshold) / self.threshold + 1e-9)
+        # Windows begin at a hit; those with too few hits within the widest are passed over.
+        ends = np.searchsorted(place, place + widest)
+        starts = np.flatnonzero(ends - np.arange(len(place)) >= least)
+        if not len(starts):
+            return found
+        # A hit counts unless the template's number of this bigram stands before it in the window.
+        before, seen = np.full(len(place), -1), {}
+        for i, g in enumerate(gram.tolist()):
+            own = seen.setdefault(g, [])
+            if len(own) >= (h := int(self.held[t, g])):
+                before[i] = own[-h]
+            own.append(i)
+        for i in starts.tolist():
+            common = np.cumsum(before[i : ends[i]] < i)
+            dice = 2 * common / (place[i : ends[i]] - place[i] + 1 + m)
+            good = np.flatnonzero(dice >= self.threshold)
+            if len(good):
+                first = np.full(len(good), place[i])
+                found.append(np.stack([dice[good], first, np.full(len(good), t), place[i + good] + 2]))
         return found
 
 

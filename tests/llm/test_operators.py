@@ -122,6 +122,47 @@ def test_license_scan(spark):
     assert not {d for d, _ in got} & {1, 2, 3}
 
 
+def licences_of_all_windows(text, known):
+    """The windows at or above the threshold, of all there are, by licence: the best first, then the earlier, and none that overlaps."""
+    words = license_scan.normalised(text)
+    grams, found = list(zip(words, words[1:], strict=False)), []
+    for t, held in enumerate(known.counts):
+        m = sum(held.values())
+        for a in range(len(grams)):
+            left, common = Counter(held), 0
+            for b in range(a, len(grams)):
+                common += left[grams[b]] > 0
+                left[grams[b]] -= 1
+                dice = 2 * common / (b - a + 1 + m)
+                if dice >= 0.8:
+                    found.append((t, dice, a, b + 2))
+    out = []
+    for f in sorted(found, key=lambda f: (-f[1], f[2], f[0], f[3])):
+        if all(f[3] <= g[2] or g[3] <= f[2] for g in out if known.names[g[0]][0] == known.names[f[0]][0]):
+            out.append(f)
+    return sorted(out, key=lambda f: (f[2], f[0]))
+
+
+def test_license_scan_is_all_windows():
+    rng = random.Random(7)
+    known, texts = license_scan.Templates(), ["Licensed under the Apache Software License, Version 2.0"]
+    filler = lambda n: [rng.choice(["of", "the", "software", "is", "to", "qq", "zz", "license", "a", "copy"]) for _ in range(n)]
+    for _, kind, t in license_scan.TEMPLATES:
+        w = license_scan.normalised(t)
+        for share in (0.2, 0.3) if kind != "notice" else (0.1, 0.2, 0.3, 0.4):
+            k, at = max(1, int(len(w) * share)), rng.randrange(1, len(w))
+            broken = w[: int(len(w) * 0.7) + 1]
+            texts += [" ".join(filler(4) + x + filler(6)) for x in (w[:at] + ["qq"] * k + w[at:], [*broken, *["zz"] * (len(w) // 6), "of", "the", "software"], w[: at] + w[at + k :], w + w)]
+    n = 0
+    for text in texts:
+        want = licences_of_all_windows(text, known)
+        assert known.scan(text) == want, text
+        n += len(want)
+    assert known.scan(texts[0]) and n > len(texts) / 2
+    middle = license_scan.normalised(license_scan.TEMPLATES[0][2])
+    assert [f[0] for f in known.scan(" ".join(middle[:80] + ["qq"] * 50 + middle[80:]))] == [0]
+
+
 def test_decontamination_finds_what_brute_force_finds(spark):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
