@@ -64,6 +64,41 @@ def test_near_duplicates_and_split(spark):
     assert 66 <= split.filter("split = 'test'").count() <= 69
 
 
+def test_near_duplicates_are_all_links_of_crowded_buckets(spark):
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(90)]
+    texts = [rng.sample(vocabulary, 50) for _ in range(260)]
+    for k in range(60):
+        copy = list(texts[k])
+        for at in rng.sample(range(50), 7 + k % 4):
+            copy[at] = rng.choice(vocabulary)
+        texts.append(copy)
+    rng.shuffle(texts)
+    texts = [" ".join(t) for t in texts]
+    sets = [set(dedup.grams(t).tolist()) for t in texts]
+    keys = [set(dedup.band_keys(dedup.grams(t))) for t in texts]
+    root = list(range(len(texts)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    shared = linked = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if keys[i] & keys[j]:
+                shared += 1
+                if len(sets[i] & sets[j]) >= 0.8 * (len(sets[i]) * len(sets[j])) ** 0.5:
+                    linked += 1
+                    x, y = sorted((top(i), top(j)))
+                    root[y] = x
+    assert shared > 10 * len(texts) and linked > 30
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["group_id"] for r in dedup.near(docs, "doc_id").collect()}
+    assert got == {i: top(i) for i in range(len(texts))}
+
+
 def test_word_errors_against_plain_edit_distance(spark):
     pairs = [("a b c", "a x c"), ("a b", "a b c d"), ("", "a"), ("q", "")]
     rows = spark.createDataFrame(pairs, "truth string, found string")
