@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from . import graph
 from . import themes as TH
 
-#: Queries of a neighbour search, at most; the sample size of the purity estimate.
-MAX_QUERIES = 15_000
+#: Queries of a neighbour search that go to the tasks at a time, about.
 QUERY_BLOCK = 1_000
 
 
@@ -46,18 +46,20 @@ def leave_one_out(vectors: DataFrame, key: str, label: str = "label", vector: st
     return out.filter(~F.isnan("own")).withColumn("correct", F.col("own") > F.col("best_other"))
 
 
-def nearest_neighbours(vectors: DataFrame, key: str, k: int = 10, label: str = "label", vector: str = "embedding", most: int = MAX_QUERIES) -> DataFrame:
-    """query, neighbour, similarity, rank: the k rows most similar to each query, itself left out.
+def nearest_neighbours(vectors: DataFrame, key: str, k: int = 10, label: str = "label", vector: str = "embedding", block: int = QUERY_BLOCK) -> DataFrame:
+    """query, neighbour, similarity, rank: the k rows most similar to each row, itself left out.
 
-    The queries are at most `most` rows, by a hash of their key, and go to the tasks in blocks; each task keeps
-    k rows for a query, and these are merged by query. Of equal ones the smaller key comes first.
+    Every row is a query. They go to the tasks in blocks, by a hash of their key, and what a block finds is
+    written, so the driver holds one block; each task keeps k rows for a query, and these are merged by query.
+    Of equal ones the smaller key comes first.
     """
     spark = vectors.sparkSession
     known = vectors.filter(F.col(vector).isNotNull()).select(F.col(key).alias("key"), F.col(label).alias("label"), V.normalised(F.col(vector)).alias("u"))
-    queries = known.orderBy(F.md5(F.col("key").cast("string")), "key").limit(most).toPandas()
-    out = None
-    for lo in range(0, len(queries), QUERY_BLOCK):
-        part = queries.iloc[lo : lo + QUERY_BLOCK]
+    blocks, folder, out = -(-known.count() // block), graph.shared_folder(spark), None
+    for b in range(blocks):
+        part = known.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b).toPandas()
+        if not len(part):
+            continue
         sent = spark.sparkContext.broadcast((part["key"].to_numpy(), part["label"].to_numpy(), np.stack(part["u"].to_numpy())))
 
         def best(batches, sent=sent):
@@ -80,7 +82,8 @@ def nearest_neighbours(vectors: DataFrame, key: str, k: int = 10, label: str = "
             if held is not None:
                 yield held[held["similarity"] > -2]
 
-        found = known.mapInPandas(best, "query long, query_label int, neighbour long, label int, similarity double")
+        found = graph.kept(known.mapInPandas(best, "query long, query_label int, neighbour long, label int, similarity double"), f"{folder}/block{b}")
+        sent.unpersist()
         out = found if out is None else out.unionByName(found)
     if out is None:
         return spark.createDataFrame([], "query long, query_label int, neighbour long, label int, similarity double, rank int")
@@ -199,6 +202,6 @@ def over_seeds(rows: DataFrame, key: str, value: str) -> DataFrame:
 
 def within_clusters(vectors: DataFrame, themes: DataFrame) -> DataFrame:
     """label, n, mean, median and least cosine of the members to their centroid."""
-    scored = vectors.join(F.broadcast(themes.select("label", "centroid").limit(TH.MAX_THEMES)), "label")
+    scored = vectors.join(F.broadcast(TH.bounded(themes).select("label", "centroid")), "label")
     s = V.cosine(F.col("embedding"), F.col("centroid"))
     return scored.withColumn("s", s).groupBy("label").agg(F.count("*").alias("n"), F.avg("s").alias("mean"), F.percentile("s", 0.5).alias("median"), F.min("s").alias("least"))

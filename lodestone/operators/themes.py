@@ -44,6 +44,13 @@ def collected(themes: DataFrame, *columns: str) -> list:
     return sorted(rows, key=lambda r: r["label"])
 
 
+def bounded(themes: DataFrame) -> DataFrame:
+    """The theme table itself; an error where it has more than MAX_THEMES rows."""
+    if themes.limit(MAX_THEMES + 1).count() > MAX_THEMES:
+        raise ValueError(f"more than {MAX_THEMES} themes")
+    return themes
+
+
 def _unit(matrix: np.ndarray) -> np.ndarray:
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
     return matrix / np.where(length > 0, length, 1.0)
@@ -196,7 +203,7 @@ def extend_registry(registry: DataFrame, found: DataFrame, threshold: float = RE
 
 def top_members(vectors: DataFrame, themes: DataFrame, key: str, k: int = 5) -> DataFrame:
     """The k members nearest to each theme's centroid: label, key, similarity, rank."""
-    both = vectors.join(F.broadcast(themes.select("label", "centroid").limit(MAX_THEMES)), "label")
+    both = vectors.join(F.broadcast(bounded(themes).select("label", "centroid")), "label")
     scored = both.select("label", key, V.cosine(F.col("embedding"), F.col("centroid")).alias("similarity"))
     order = Window.partitionBy("label").orderBy(F.desc("similarity"), key)
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
@@ -207,7 +214,7 @@ def second_level(vectors: DataFrame, parent: str = "label", vector: str = "embed
     from pyspark.ml.clustering import KMeans
 
     rows = vectors.withColumn("_f", array_to_vector(F.col(vector).cast("array<double>")))
-    sizes = rows.groupBy(parent).count().limit(MAX_THEMES).collect()
+    sizes = bounded(rows.groupBy(parent).count()).collect()
     out = None
     for r in sorted(sizes, key=lambda r: (r[parent] is None, r[parent])):
         own = rows.filter(F.col(parent).eqNullSafe(F.lit(r[parent])))

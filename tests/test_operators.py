@@ -116,6 +116,19 @@ def test_neighbours_against_all_pairs(spark):
         assert [got[q, k + 1] for k in range(4)] == [j for _, j in best]
 
 
+def test_every_row_is_a_query_and_too_many_themes_are_an_error(spark, monkeypatch):
+    # More rows than the 15,000 that were queries at most.
+    rows = spark.range(15_200).selectExpr("id as vec_id", "array(cos(id * 0.0004), sin(id * 0.0004)) as embedding", "cast(id % 3 as int) as label")
+    got = metrics.nearest_neighbours(rows, "vec_id", 1, block=8_000).groupBy("query").count()
+    assert got.count() == 15_200 and got.filter("count <> 1").isEmpty()
+    monkeypatch.setattr(themes, "MAX_THEMES", 2)
+    small = rows.limit(30)
+    found = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(3)], "label int, centroid array<double>")
+    for call in (lambda: metrics.within_clusters(small, found), lambda: themes.top_members(small, found, "vec_id"), lambda: themes.second_level(small)):
+        with pytest.raises(ValueError):
+            call()
+
+
 def test_updates(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k int, v string")
     new = spark.createDataFrame([(2, "b"), (3, "c"), (4, "d")], "k int, v string")
