@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 #: White space as the operators see it (fixed): blank, tab, LF, VT, FF, CR.
 SPACE = r"[\x20\x09-\x0D]+"
 TOKENIZER = "word_bpe_49k.json"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -38,14 +39,18 @@ def has_word(line: Column) -> Column:
 class Scratch:
     """Tables written to the folder that all executors share, to cut lineage.
 
-    The folder is that of ``spark.checkpoint.dir``; where the session names none, the warehouse folder
-    takes its place. A table is written by Spark's committer, so a lost executor's half-written files
+    The folder is that of ``spark.checkpoint.dir``; where a session on one machine names none, the warehouse
+    folder takes its place, and on a cluster that is an error. A table is written by Spark's committer, so a lost executor's half-written files
     are never read, and what a finished step wrote needs no recomputation.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not spark.sparkContext.master.startswith("local["):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            base = f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
         if not re.match(r"\w+:", base):
             base = f"file://{base}"
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -54,12 +59,18 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def table(self, name: str, df: DataFrame) -> DataFrame:
-        """Write df and return what was written."""
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        """Write df and return what was written. The shuffle files of the step go when it has ended."""
+        before = self.spark.conf.get(_CLEANUP)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def drop(self, name: str = "") -> None:
-        """Delete a table that no later step reads; without a name, all of them."""
-        jvm = self.spark._jvm
-        place = jvm.org.apache.hadoop.fs.Path(self.path(name) if name else self.root)
-        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+    def drop(self, *names: str) -> None:
+        """Delete tables that no later step reads."""
+        fs = self.spark._jvm.org.apache.hadoop.fs
+        for name in names:
+            place = fs.Path(self.path(name))
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
