@@ -1,11 +1,13 @@
 """Quality rules: a threshold table compiled into one Spark projection.
 
-``measures`` adds the counts, ``compile_rules`` turns the table into one boolean column. Everything is
-built-in expressions on one row; nothing is shuffled, so a hot source or a long document costs its own
-text only.
+``verdict`` is one expression: the counts, the ratios and the boolean that ``compile_rules`` makes of the
+table, as a struct in which each part is made once and bound to a variable. ``judge`` lays its fields out
+by a generator of one row, so a filter on them stays above it and copies nothing. Everything is built-in
+expressions on one row; nothing is shuffled, so a hot source or a long document costs its own text only.
 
 Defined results: a null or empty text has no words and all counts 0, and is rejected; ``doc_id`` may be
-null or repeated, every row is judged alone; extra columns stay behind.
+null or repeated, every row is judged alone; extra columns stay, but for those named like a result, which
+are replaced.
 """
 
 from __future__ import annotations
@@ -49,6 +51,11 @@ RULES = (
 )
 
 
+def bound(value: Column, f) -> Column:
+    """f(value), with value made once."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def repeated_words(ws: Column) -> Column:
     """How many words stand in 5-word windows that the text holds twice or more, the first included.
 
@@ -62,10 +69,6 @@ def repeated_words(ws: Column) -> Column:
         at = lambda x, k: F.slice(x, k, F.greatest(size, F.lit(0)))
         return F.zip_with(at(a, 1), at(b, skip + 1), lambda x, y: F.xxhash64(x, y))
 
-    def bound(value: Column, f) -> Column:
-        """f(value), with value made once."""
-        return F.get(F.transform(F.array(value), f), 0)
-
     def covered(hashes: Column) -> Column:
         s = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
@@ -100,49 +103,70 @@ def repeated_words(ws: Column) -> Column:
     return bound(F.transform(ws, lambda w: F.xxhash64(w)), with_words)
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with the counts and ratios that the rules use."""
-    raw = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(raw, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    symbols = reduce(lambda a, b: a + b, (F.length(raw) - F.length(F.replace(raw, F.lit(c))) for c in SYMBOLS))
+def counts(text: Column) -> Column:
+    """The counts of a text that the rules use, as a struct."""
+    raw = F.coalesce(text, F.lit(""))
     stop = sorted({w for ws in STOP_WORDS.values() for w in ws})
-    out = docs.withColumns({"_ws": words(F.col(text)), "_lines": lines})
-    out = out.withColumns(
-        {
-            "n_words": F.size("_ws").cast("long"),
-            "word_chars": F.length(F.array_join("_ws", "")).cast("long"),
-            "n_symbols": symbols.cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": repeated_words(F.col("_ws")),
-            "n_stop_words": F.size(F.filter("_ws", lambda w: F.lower(w).isin(stop))).cast("long"),
-        }
-    )
-    per = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
-    return out.withColumns(
-        {
-            "repeat_ratio": per("n_repeat_words", "n_words"),
-            "mean_word_chars": per("word_chars", "n_words"),
-            "symbol_ratio": per("n_symbols", "n_words"),
-            "dup_line_ratio": per("n_dup_lines", "n_lines"),
-            "stop_word_ratio": per("n_stop_words", "n_words"),
-        }
-    ).drop("_ws", "_lines")
-
-
-def compile_rules(rules: tuple[Rule, ...] = RULES) -> Column:
-    """One boolean: every rule of the table holds."""
+
+    def of_lines(lines: Column) -> tuple[Column, Column]:
+        return F.size(lines).cast("long"), (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
+
+    def with_both(ws: Column, lines: Column) -> Column:
+        symbols = reduce(lambda a, b: a + b, (F.length(raw) - F.length(F.replace(raw, F.lit(c))) for c in SYMBOLS))
+        n_lines, n_dup_lines = of_lines(lines)
+        return F.struct(
+            F.size(ws).cast("long").alias("n_words"),
+            F.length(F.array_join(ws, "")).cast("long").alias("word_chars"),
+            symbols.cast("long").alias("n_symbols"),
+            n_lines.alias("n_lines"),
+            n_dup_lines.alias("n_dup_lines"),
+            repeated_words(ws).alias("n_repeat_words"),
+            F.size(F.filter(ws, lambda w: F.lower(w).isin(stop))).cast("long").alias("n_stop_words"),
+        )
+
+    worded = F.filter(F.split(raw, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return bound(words(text), lambda ws: bound(worded, lambda lines: with_both(ws, lines)))
+
+
+def compile_rules(m: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """One boolean: every rule of the table holds for the measures m."""
     tests = [F.lit(True)]
     for r in rules:
         if r.low is not None:
-            tests.append(F.col(r.measure) >= r.low)
+            tests.append(m[r.measure] >= r.low)
         if r.high is not None:
-            tests.append(F.col(r.measure) <= r.high)
+            tests.append(m[r.measure] <= r.high)
     return reduce(lambda a, b: a & b, tests)
 
 
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words")
+#: Ratios: a count over another, 0 where that is 0.
+RATIOS = {
+    "repeat_ratio": ("n_repeat_words", "n_words"),
+    "mean_word_chars": ("word_chars", "n_words"),
+    "symbol_ratio": ("n_symbols", "n_words"),
+    "dup_line_ratio": ("n_dup_lines", "n_lines"),
+    "stop_word_ratio": ("n_stop_words", "n_words"),
+}
+RESULTS = (*COUNTS, *RATIOS, "base_failed", "kept")
+
+
+def verdict(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """All measures of a text, `base_failed` and `kept`, as a struct."""
+
+    def measured(c: Column) -> Column:
+        per = lambda a, b: F.when(c[b] > 0, c[a] / c[b]).otherwise(F.lit(0.0))
+        failed = (c["n_words"] < 10) | (c["n_repeat_words"] * 100 > c["n_words"] * 20)
+        return F.struct(*(c[k].alias(k) for k in COUNTS), *(per(a, b).alias(k) for k, (a, b) in RATIOS.items()), failed.alias("base_failed"))
+
+    def judged(m: Column) -> Column:
+        kept = ~m["base_failed"] & compile_rules(m, rules)
+        return F.struct(*(m[k].alias(k) for k in RESULTS[:-1]), kept.alias("kept"))
+
+    return bound(bound(counts(text), measured), judged)
+
+
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """docs with all measures, `base_failed` and `kept`."""
-    failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
-    out = measures(docs, text).withColumn("base_failed", failed)
-    return out.withColumn("kept", ~F.col("base_failed") & compile_rules(rules))
+    docs = docs.drop(*(c for c in RESULTS if c != text))
+    return docs.select("*", F.inline(F.array(verdict(F.col(text), rules))))
