@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,24 @@ def has_word(line: Column) -> Column:
     return F.length(F.ltrim(line, F.lit(" \t\n\x0b\x0c\r"))) > 0
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with value made once."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For each place of an array of ints, what merge makes of the values up to it: sums, or the greatest so far.
+
+    Each pass doubles how far back a place has looked, so an array of n takes n log n steps.
+    """
+
+    def further(a: Column, k: Column) -> Column:
+        back = F.lit(1).cast("long") * F.pow(F.lit(2.0), k).cast("long")
+        return F.transform(a, lambda x, i: F.when(i < back, x).otherwise(merge(x, F.get(a, (i - back).cast("int")))))
+
+    return bound(values, lambda v: F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(v), F.lit(1)))).cast("int")), v, further))
+
+
 class Scratch:
     """Tables written to the folder that all executors share, to cut lineage.
 

@@ -1,6 +1,6 @@
 """Personal data: pattern spans, and terms that give a protected value away.
 
-Patterns find the base spans in each text by built-in expressions alone: the pattern splits the text, and
+Patterns find the base spans, and secrets beside them, in each text by built-in expressions alone: the pattern splits the text, and
 the lengths of what lies between the matches give their places. The corpus then says which words disclose
 a protected value. A word t that stands near a value e tells about it
 
@@ -8,14 +8,15 @@ a protected value. A word t that stands near a value e tells about it
 
 with probabilities over documents: 1 if t stands only in documents with e, 0 if the two are independent.
 A term at or above the threshold, seen near e in enough different texts, is a span in every document that
-holds e. Sanitising replaces base spans by their kind and terms by a general word.
+holds e. Near are eight words on either side, up to the next value of the same kind. Sanitising replaces
+base spans by their kind and terms by a general word.
 
-Candidate terms are those near a value in enough texts, a small part of all words; only these are counted
-over the corpus. All work is projections, pre-aggregated counts and equi-joins.
+Candidate terms are those near a value in enough texts; how many documents hold a word is counted, with
+partial sums, before they are looked up. All work is projections, pre-aggregated counts and equi-joins.
 
 Defined results: a null or empty text has no spans and the hash of the empty string; rows with a null or
 repeated doc_id are each judged by their own text; copies of a text count once towards support; input
-columns named like the results are replaced.
+columns named like the results are replaced; words of one letter are no terms.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, bound, running, words
 
 #: The patterns, in the order in which spans are listed. Possessive and anchored forms of
 #: the plain ones, so a long run of letters or digits is walked once; the matches are the same.
@@ -36,17 +37,21 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[\x20-]?+[0-9]){15,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-KINDS = (*PATTERNS, "term")
-#: Words on either side of a value that count as near it, and the characters searched for them.
-CONTEXT_WORDS, CONTEXT_CHARS = 8, 160
-MIN_TERM_CHARS = 4
+#: Further entities: key ids of a cloud service, and values given to a password, token or the like.
+ENTITIES = PATTERNS | {
+    "secret": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])|(?i:password|passwd|secret|token|api[_-]?key)\x20?[=:]\x20?[^\x20\x09-\x0D]{8,}+",
+}
+KINDS = (*ENTITIES, "term")
+#: Words on either side of a value that count as near it.
+CONTEXT_WORDS = 8
+MIN_TERM_CHARS = 2
 #: Different texts in which a term must stand near a value.
 MIN_SUPPORT = 3
 DISCLOSURE = 0.9
 #: More candidate terms than this are joined by a shuffle, fewer are sent to all executors.
 BROADCAST_TERMS = 100_000
-#: Texts with term spans, likewise; beyond it they are joined by a salted shuffle.
-BROADCAST_TEXTS = 5_000
+#: Texts with term spans and such spans, likewise; beyond it they are joined by a salted shuffle.
+BROADCAST_TEXTS, BROADCAST_SPANS = 50_000, 500_000
 SALTS = 16
 _SPAN = "struct<kind:string,start:int,end:int,value:string>"
 _LETTERS = r"\p{L}+"
@@ -84,34 +89,37 @@ CHECKS = {
     ),
     "card": Check(lambda t: t.rlike(r"[0-9](?:[\x20-]?+[0-9]){15}"), lambda m: F.length(_digits(m)).between(16, 19) & _luhn(m)),
     "phone": Check(lambda t: F.contains(t, F.lit("+")), lambda m: F.length(_digits(m)).between(8, 15)),
+    "secret": Check(lambda t: t.rlike(r"A[KS]IA[0-9A-Z]|(?i:word|wd|secret|token|key)\x20?[=:]"), lambda m: F.lit(True)),
 }
 
 
 def placed(text: Column, pattern: str) -> Column:
     """Matches of the pattern in order, as (start, end, value), in code points, end exclusive."""
-    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    start = F.struct(F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out"), F.lit(0).alias("at"))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["between"])
-        end = begin + F.length(x["found"])
-        one = F.struct(begin.alias("start"), end.alias("end"), x["found"].alias("value"))
-        return F.struct(F.concat(acc["out"], F.array(one)).alias("out"), end.alias("at"))
+    def lengths(pairs: Column) -> Column:
+        return F.transform(pairs, lambda x: F.length(x["between"]) + F.length(x["found"]))
+
+    def spans(pairs: Column, ends: Column) -> Column:
+        return F.zip_with(pairs, ends, lambda x, end: F.struct((end - F.length(x["found"])).alias("start"), end.alias("end"), x["found"].alias("value")))
 
-    pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda b, m: F.struct(b.alias("between"), m.alias("found")))
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    def with_found(found: Column) -> Column:
+        between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+        pairs = F.zip_with(between, found, lambda b, m: F.struct(b.alias("between"), m.alias("found")))
+        return bound(pairs, lambda ps: bound(running(lengths(ps), lambda a, b: a + b), lambda ends: spans(ps, ends)))
 
+    return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), with_found)
 
-def base_spans(text: Column) -> Column:
-    """Base spans by kind and start, as array<struct<kind, start, end, value>>."""
+
+def entity_spans(text: Column) -> Column:
+    """Spans of entities by kind and start, base ones first, as array<struct<kind, start, end, value>>."""
     raw, none = F.coalesce(text, F.lit("")), F.array().cast(f"array<{_SPAN}>")
 
     def of(kind: str) -> Column:
         check = CHECKS[kind]
-        good = F.filter(placed(raw, PATTERNS[kind]), lambda s: check.holds(s["value"]))
+        good = F.filter(placed(raw, ENTITIES[kind]), lambda s: check.holds(s["value"]))
         return F.when(check.may(raw), _named(good, kind)).otherwise(none)
 
-    return F.concat(*map(of, PATTERNS))
+    return F.concat(*map(of, ENTITIES))
 
 
 def _named(found: Column, kind: str) -> Column:
@@ -123,7 +131,7 @@ def _named(found: Column, kind: str) -> Column:
 
 def _protected(span: Column) -> Column:
     """A value without its spelling: lower case letters, digits of a number."""
-    plain = F.when(span["kind"] == "email", F.lower(span["value"])).when(span["kind"] == "ip", span["value"]).otherwise(_digits(span["value"]))
+    plain = F.when(span["kind"] == "email", F.lower(span["value"])).when(span["kind"].isin("ip", "secret"), span["value"]).otherwise(_digits(span["value"]))
     return F.concat(span["kind"], F.lit(":"), plain)
 
 
@@ -131,24 +139,32 @@ def _terms(text: Column) -> Column:
     return F.filter(F.regexp_extract_all(F.lower(text), F.lit(_LETTERS), F.lit(0)), lambda w: F.length(w) >= MIN_TERM_CHARS)
 
 
-def _near(text: Column, span: Column) -> Column:
-    """Terms within a few words of a span; a word that the window of characters cuts is left out."""
-    before = F.substring(text, F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0)) + 1, F.least(span["start"], F.lit(CONTEXT_CHARS)))
-    before = F.when(span["start"] > CONTEXT_CHARS, F.regexp_replace(before, r"^\S*", "")).otherwise(before)
-    after = F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS))
-    after = F.when(F.length(after) == CONTEXT_CHARS, F.regexp_replace(after, r"\S*$", "")).otherwise(after)
-    split = lambda s: F.filter(F.split(s, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    left, right = split(before), split(after)
-    near = F.concat(F.slice(left, F.greatest(F.size(left) - CONTEXT_WORDS, F.lit(0)) + 1, F.lit(CONTEXT_WORDS)), F.slice(right, 1, CONTEXT_WORDS))
-    return F.array_distinct(_terms(F.array_join(near, " ")))
+def _near(text: Column, spans: Column) -> Column:
+    """(protected, terms near it) of all base spans."""
+
+    def of(own: Column) -> Column:
+        def one(s: Column, i: Column) -> Column:
+            since = F.coalesce(F.get(own, i - 1)["end"], F.lit(0))
+            until = F.coalesce(F.get(own, i + 1)["start"], F.length(text))
+            left, right = words(F.substring(text, since + 1, s["start"] - since)), words(F.substring(text, s["end"] + 1, until - s["end"]))
+            last = F.slice(left, F.greatest(F.size(left) - CONTEXT_WORDS, F.lit(0)) + 1, F.lit(CONTEXT_WORDS))
+            near = F.concat_ws(" ", last, F.slice(right, 1, CONTEXT_WORDS))
+            return F.struct(_protected(s).alias("protected"), F.array_distinct(_terms(near)).alias("near"))
+
+        return F.transform(own, one)
+
+    def own(kind: str) -> Column:
+        return F.filter(spans, lambda s: s["kind"] == kind)
+
+    return F.concat(*(bound(own(kind), of) for kind in ENTITIES))
 
 
 def disclosing_terms(
     docs: DataFrame, spotted: DataFrame, min_support: int = MIN_SUPPORT, threshold: float = DISCLOSURE
 ) -> DataFrame:
     """(protected, term, disclosure) at or above the threshold; spotted: text, spans of documents with base spans."""
-    near = spotted.select("text", F.explode("spans").alias("s"))
-    near = near.select(F.xxhash64("text").alias("copy"), _protected(F.col("s")).alias("protected"), F.explode(_near(F.col("text"), F.col("s"))).alias("term"))
+    near = spotted.select(F.xxhash64("text").alias("copy"), F.explode(_near(F.col("text"), F.col("spans"))).alias("s"))
+    near = near.select("copy", F.col("s.protected").alias("protected"), F.explode("s.near").alias("term"))
     # Copies of a text are one row after the first, pre-aggregated step.
     support = near.distinct().groupBy("protected", "term").agg(F.count("*").alias("support")).filter(F.col("support") >= min_support)
     both = (
@@ -160,8 +176,9 @@ def disclosing_terms(
     joint = pairs.select("protected", F.explode(F.array_intersect("terms", "own")).alias("term")).groupBy("protected", "term").agg(F.count("*").alias("n_both"))
     wanted = candidates.select("term").distinct()
     few = wanted.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
-    words = docs.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
-    n_term = words.join(F.broadcast(wanted) if few else wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    # A row for each word and task goes through the shuffle, whatever the candidates are.
+    counted = docs.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    n_term = counted.join(F.broadcast(wanted) if few else wanted, "term", "left_semi")
     total = docs.count()
     share = F.log2(F.col("n_both") * total / (F.col("n_term") * F.col("n_value"))) / F.log2(F.lit(total) / F.col("n_value"))
     found = joint.join(n_term, "term").join(value_docs, "protected")
@@ -171,7 +188,7 @@ def disclosing_terms(
 def find(docs: DataFrame, scratch: Scratch, min_support: int = MIN_SUPPORT, threshold: float = DISCLOSURE) -> DataFrame:
     """docs (doc_id, text, ...) with `spans`: base spans, then terms by start."""
     docs = docs.drop("spans", "row", "own", "term_spans")
-    marked = docs.withColumn("spans", base_spans(F.col("text")))
+    marked = docs.withColumn("spans", entity_spans(F.col("text")))
     holding = marked.filter(F.size("spans") > 0)
     # Documents with base spans, once: what follows reads them several times.
     spotted = scratch.table("spotted", holding.select(F.monotonically_increasing_id().alias("row"), "text", "spans"))
@@ -180,20 +197,21 @@ def find(docs: DataFrame, scratch: Scratch, min_support: int = MIN_SUPPORT, thre
     # A row's text is what decides, so terms are looked up by it; copies have the same.
     own = held.join(told, "protected").groupBy("row").agg(F.collect_set("term").alias("own"))
     texts = spotted.join(own, "row").select("text", "spans", "own")
-    words = F.filter(placed(F.col("text"), _LETTERS), lambda w: F.array_contains(F.col("own"), F.lower(w["value"])))
-    free = F.filter(words, lambda w: ~F.exists(F.col("spans"), lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
+    named_words = F.filter(placed(F.col("text"), _LETTERS), lambda w: F.array_contains(F.col("own"), F.lower(w["value"])))
+    free = F.filter(named_words, lambda w: ~F.exists(F.col("spans"), lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
     named = _named(free, "term")
     extra = texts.select(F.sha2("text", 256).alias("_key"), named.alias("term_spans")).groupBy("_key").agg(F.first("term_spans").alias("term_spans"))
     extra = scratch.table("extra", extra)
-    if extra.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS:
+    size = extra.agg(F.count("*").alias("texts"), F.coalesce(F.sum(F.size("term_spans")), F.lit(0)).alias("spans")).first()
+    if size["texts"] <= BROADCAST_TEXTS and size["spans"] <= BROADCAST_SPANS:
         out = marked.withColumn("_key", F.when(F.size("spans") > 0, F.sha2("text", 256)))
         out = out.join(F.broadcast(extra), "_key", "left").drop("_key")
     else:
-        # Rows without base spans can't match and are spread by their id; copies of the others by a salt.
+        # Only rows with base spans move; copies of a text are spread by a salt.
         salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-        key = F.when(F.size("spans") > 0, F.sha2("text", 256)).otherwise(F.concat(F.lit("-"), F.xxhash64("doc_id", "text")))
         salted = extra.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        out = marked.withColumns({"_key": key, "_salt": salt}).join(salted, ["_key", "_salt"], "left").drop("_key", "_salt")
+        held = holding.withColumns({"_key": F.sha2("text", 256), "_salt": salt}).join(salted, ["_key", "_salt"], "left").drop("_key", "_salt")
+        out = held.unionByName(marked.filter(F.size("spans") == 0).withColumn("term_spans", F.lit(None).cast(f"array<{_SPAN}>")))
     return out.withColumn("spans", F.concat("spans", F.coalesce("term_spans", F.array().cast(f"array<{_SPAN}>")))).drop("term_spans")
 
 
@@ -204,17 +222,18 @@ def listed(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
 
 
 def sanitised(text: Column, spans: Column) -> Column:
-    """The text with base spans replaced by their kind and terms generalised; of overlapping spans the first is replaced."""
+    """The text with base spans replaced by their kind and terms generalised; spans that overlap are replaced as one, by what the first is."""
     raw = F.coalesce(text, F.lit(""))
-    in_order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    begin = F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("at"))
-
-    def step(acc: Column, s: Column) -> Column:
-        label = F.when(s["kind"] == "term", F.lit("something")).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        taken = F.struct(
-            F.concat(acc["parts"], F.array(F.substring(raw, acc["at"] + 1, s["start"] - acc["at"]), label)).alias("parts"), s["end"].alias("at")
-        )
-        return F.when(s["start"] >= acc["at"], taken).otherwise(acc)
-
-    rest = lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(raw, acc["at"] + 1, F.length(raw)))
-    return F.when(text.isNotNull(), F.aggregate(in_order, begin, step, rest))
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+
+    def replaced(own: Column, tops: Column) -> Column:
+        # tops: the greatest end so far. A span that begins beyond those before it heads a group.
+        before = lambda i: F.coalesce(F.get(tops, i - 1), F.lit(0))
+        heads = F.filter(F.transform(own, lambda s, i: F.struct(s["start"].alias("start"), before(i).alias("since"), s["kind"].alias("kind"))), lambda h: h["start"] >= h["since"])
+        label = lambda k: F.when(k == "term", F.lit("something")).otherwise(F.concat(F.lit("["), F.upper(k), F.lit("]")))
+        parts = F.transform(heads, lambda h: F.concat(F.substring(raw, h["since"] + 1, h["start"] - h["since"]), label(h["kind"])))
+        rest = F.substring(raw, before(F.size(own)) + 1, F.length(raw))
+        return F.concat(F.array_join(parts, ""), rest)
+
+    clean = bound(ordered, lambda own: bound(running(F.transform(own, lambda s: s["end"]), F.greatest), lambda tops: replaced(own, tops)))
+    return F.when(F.size(spans) == 0, text).when(text.isNotNull(), clean)

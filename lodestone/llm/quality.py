@@ -18,7 +18,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import bound, words
 
 #: The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -51,11 +51,6 @@ RULES = (
 )
 
 
-def bound(value: Column, f) -> Column:
-    """f(value), with value made once."""
-    return F.get(F.transform(F.array(value), f), 0)
-
-
 def repeated_words(ws: Column) -> Column:
     """How many words stand in 5-word windows that the text holds twice or more, the first included.
 

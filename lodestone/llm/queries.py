@@ -42,7 +42,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     n = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.sha2(pii.listed(spans, tuple(pii.PATTERNS)).cast("binary"), 256)
-    return found.select("doc_id", *(n(k) for k in pii.PATTERNS), base.alias("base_sha256"), pii.listed(spans).alias("spans"), n("term"))
+    clean = F.sha2(pii.sanitised(F.col("text"), spans).cast("binary"), 256)
+    return found.select(
+        "doc_id", *(n(k) for k in pii.PATTERNS), base.alias("base_sha256"), pii.listed(spans).alias("spans"), n("secret"), n("term"),
+        F.size("spans").cast("long").alias("n_spans"), clean.alias("sanitised_sha256"),
+    )
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
