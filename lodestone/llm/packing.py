@@ -3,9 +3,11 @@
 Every text becomes ids plus an end id; longer ones are cut into pieces of a sequence's length. The pieces
 (ids stay behind, a piece is a few numbers) are dealt at random into partitions of bounded size, and each
 partition is packed by best-fit decreasing. Dual feasible functions bound from below how many sequences
-a partition needs. Where a packing takes more, or where several partitions each leave sequences unfilled,
-the pieces of the unfilled sequences are exchanged: dealt anew into fewer partitions and packed again,
-until one partition holds the rest or the bound of the whole is met.
+a partition needs, which certifies a packing that takes no more. Partitions with a gap exchange documents:
+the pieces of their unfilled sequences are dealt anew and packed again, those of certified ones wait. When
+no partition has a gap, or an exchange saves nothing, the waiting sequences count as one partition with its
+own bound; if the whole has a gap still, they are exchanged too. It ends when the bound of the whole is met
+or neither exchange saves a sequence.
 
 Defined results: a null or empty text is one piece of the end id; repeated rows are packed as often as
 they stand there; a null doc_id is kept; an empty table gives no rows.
@@ -128,33 +130,45 @@ def pack(found: DataFrame, scratch: Scratch, length: int = LENGTH, target: int =
             }
         )
 
-    pool, done, used, n, turn = stored.filter(F.col("length") < length).select("row", "length"), [whole], 0, sum(rest.values()), 0
-    kept_before = None  # the pool's present sequences: what to fall back on where a new turn takes no fewer
+    # Sequences that stay, and unfilled ones of certified partitions, which wait.
+    done, used, waiting, n_waiting = [whole], 0, None, 0
+    pool, n, turn, kept = stored.filter(F.col("length") < length).select("row", "length"), sum(rest.values()), 0, None
     while n:
         parts = -(-n // target)
         part = F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(parts))
-        name = f"turn{turn}"
         dealt = pool.withColumn("part", part).repartition(parts, "part").groupBy("part").applyInPandas(packed, _PACKED)
-        now = scratch.table(name, dealt)
-        by_part = now.select("part", "bins", "bound").distinct().agg(F.sum("bins").alias("bins"), F.sum("bound").alias("bound")).first()
-        number = lambda d, t: d.select(
-            "row", "offset", (F.lit(-(t + 1) << 56) - F.col("part") * (1 << 32) - F.col("bin")).alias("sequence_id")
-        )
-        if kept_before is not None and by_part["bins"] >= kept_before[1]:
-            done.append(kept_before[0])
-            used += kept_before[1]
-            break
-        if parts == 1 or used + by_part["bins"] <= least:
-            done.append(number(now, turn))
-            used += by_part["bins"]
+        now = scratch.table(f"turn{turn}", dealt)
+        number = F.lit(-(turn + 1) << 56) - F.col("part") * (1 << 32) - F.col("bin")
+        rows = now.select("row", "length", "offset", number.alias("sequence_id"), (F.col("fill") == length).alias("full"), (F.col("bins") > F.col("bound")).alias("gap"))
+        found = rows.select("sequence_id", "full", "gap").distinct().agg(
+            F.count("*").alias("bins"), F.count_if("full").alias("full"), F.count_if(~F.col("full") & ~F.col("gap")).alias("certified"),
+            F.count_if(~F.col("full") & F.col("gap")).alias("open"),
+        ).first()
+        if kept is not None and found["bins"] >= kept[1]:
+            # No fewer than before: what was there stays.
+            done.append(kept[0])
+            used, again = used + kept[1], None
+        elif parts == 1 or used + n_waiting + found["bins"] <= least:
+            done.append(rows)
+            used, again = used + found["bins"], None
+        else:
+            done.append(rows.filter("full"))
+            used += found["full"]
+            if found["certified"]:
+                own = rows.filter("not full and not gap")
+                waiting, n_waiting = own if waiting is None else waiting.unionByName(own), n_waiting + found["certified"]
+            again = (rows.filter("not full and gap"), found["open"]) if found["open"] else None
+        if again is None and waiting is not None:
+            if used + n_waiting <= least:
+                done.append(waiting)
+                break
+            again, waiting, n_waiting = (waiting, n_waiting), None, 0
+        if again is None:
             break
-        # Full sequences stay; the others' pieces are exchanged with those of all other partitions.
-        full, unfilled = now.filter(F.col("fill") == length), now.filter(F.col("fill") < length)
-        open_bins = unfilled.select("part", "bin").distinct().count()
-        done.append(number(full, turn))
-        used += by_part["bins"] - open_bins
-        kept_before = (number(unfilled, turn), open_bins)
-        pool, n, turn = unfilled.select("row", "length"), unfilled.count(), turn + 1
+        kept, turn = again, turn + 1
+        pool = kept[0].select("row", "length")
+        n = pool.count()
+    done = [d.select("row", "offset", "sequence_id") for d in done]
     placed = done[0]
     for d in done[1:]:
         placed = placed.unionByName(d)
