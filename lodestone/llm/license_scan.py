@@ -9,11 +9,14 @@ on multisets. Sizes bound it: a window with c of the template's bigrams in it ca
 2c / (c + m) for a template of m bigrams, so a template is left aside unless a text has enough of its
 bigrams, and a window is unless it has; one of s bigrams can't score over 2m / (s + m), so at 0.8 windows
 have 2m/3 to 3m/2. Only windows that begin and end at a hit count: others score less than the one of these
-within them. Templates are a fixed list; each text is scored in its own row,
-so nothing is shuffled and a hot source costs no more than its own texts.
-
-Defined results: a null or empty text has no licence; of overlapping windows for one licence the best,
-then the first, is reported, so a text may bear several licences; a repeated row gives repeated results.
+within them. Of a template's windows that overlap the best stands, and of templates whose windows overlap the
+one with more common bigrams, so a text isn't reported for a part of a longer licence as well. Templates are
+a fixed list, with whole texts where these are short and headers and notices elsewhere; each text is scored
+in its own row, so nothing is shuffled and a hot source costs no more than its own texts.
+
+Defined results: a null or empty text has no licence; of equal windows the first, then the template that
+comes first, is reported; a text may bear several licences that don't overlap; a repeated row gives
+repeated results.
 """
 
 from __future__ import annotations
@@ -57,9 +60,45 @@ even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE
 for more details."""
 _ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
 hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ISC_END = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
+INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
+SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR
+PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH
+THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,
+publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any
+purpose, commercial or non-commercial, and by any means."""
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+held liable for any damages arising from the use of this software. Permission is granted to anyone to use this
+software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to
+the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you
+wrote the original software. If you use this software in a product, an acknowledgment in the product documentation
+would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be
+misrepresented as being the original software. 3. This notice may not be removed or altered from any source
+distribution."""
+_MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
+not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+_EPL = """This program and the accompanying materials are made available under the terms of the Eclipse Public License
+2.0 which is available at https://www.eclipse.org/legal/epl-2.0/."""
 #: Licence id, kind of text, text. Full grants, file headers and one-line notices.
 TEMPLATES = (
     ("MIT", "text", _PERMISSION),
+    ("BSD-2-Clause", "full", f"{_BSD_2} {_BSD_END}"),
+    ("BSD-3-Clause", "full", f"{_BSD_2} {_BSD_NAMES} {_BSD_END}"),
+    ("ISC", "full", f"{_ISC} {_ISC_END}"),
+    ("Unlicense", "header", _UNLICENSE),
+    ("Zlib", "full", _ZLIB),
+    ("MPL-2.0", "header", _MPL),
+    ("EPL-2.0", "header", _EPL),
+    ("LGPL-3.0", "header", _GPL.replace("GNU General", "GNU Lesser General")),
+    ("AGPL-3.0", "header", _GPL.replace("GNU General", "GNU Affero General")),
     ("BSD-2-Clause", "text", _BSD_2),
     ("BSD-3-Clause", "text", f"{_BSD_2} {_BSD_NAMES}"),
     ("ISC", "text", _ISC),
@@ -110,26 +149,27 @@ class Templates:
             return []
         place, gram = np.array(hits).T
         total = np.bincount(gram, minlength=len(self.number))
-        found: dict[str, list[np.ndarray]] = {}
+        out: list[tuple[int, int, float, int, int]] = []
         for t in np.flatnonzero(np.minimum(self.held, total).sum(1) >= self.least).tolist():
             own = self.held[t, gram] > 0
-            found.setdefault(self.names[t][0], []).extend(self._windows(t, place[own], gram[own]))
-        out: list[tuple[int, float, int, int]] = []
-        for parts in found.values():
-            if not parts:
+            if not (parts := self._windows(t, place[own], gram[own])):
                 continue
-            dice, start, t, end = np.concatenate(parts, axis=1)
-            order = np.lexsort((end, t, start, -dice))
-            dice, start, t, end = dice[order], start[order], t[order], end[order]
+            dice, common, start, end = np.concatenate(parts, axis=1)
+            order = np.lexsort((end, start, -dice))
+            dice, common, start, end = dice[order], common[order], start[order], end[order]
             # The best goes out and those that overlap it go, until none is left.
             while len(dice):
-                out.append((int(t[0]), float(dice[0]), int(start[0]), int(end[0])))
+                out.append((-int(common[0]), t, float(dice[0]), int(start[0]), int(end[0])))
                 apart = (end <= start[0]) | (start >= end[0])
-                dice, start, t, end = dice[apart], start[apart], t[apart], end[apart]
-        return sorted(out, key=lambda f: (f[2], f[0]))
+                dice, common, start, end = dice[apart], common[apart], start[apart], end[apart]
+        kept: list[tuple[int, float, int, int]] = []
+        for _, t, dice, start, end in sorted(out, key=lambda f: (f[0], -f[2], f[3], f[1])):
+            if all(end <= k[2] or k[3] <= start for k in kept):
+                kept.append((t, dice, start, end))
+        return sorted(kept, key=lambda f: (f[2], f[0]))
 
     def _windows(self, t: int, place: np.ndarray, gram: np.ndarray) -> list[np.ndarray]:
-        """dice, first word, template, end word of all windows of one template at or above the threshold."""
+        """dice, common bigrams, first word, end word of all windows of one template at or above the threshold."""
         m, least, found = int(self.sizes[t]), int(self.least[t]), []
         widest = int(m * (2 - self.threshold) / self.threshold + 1e-9)
         # Windows begin at a hit; those with too few hits within the widest are passed over.
@@ -149,8 +189,7 @@ class Templates:
             dice = 2 * common / (place[i : ends[i]] - place[i] + 1 + m)
             good = np.flatnonzero(dice >= self.threshold)
             if len(good):
-                first = np.full(len(good), place[i])
-                found.append(np.stack([dice[good], first, np.full(len(good), t), place[i + good] + 2]))
+                found.append(np.stack([dice[good], common[good], np.full(len(good), place[i]), place[i + good] + 2]))
         return found
 
 
