@@ -10,11 +10,12 @@ sum of the lesser weights over sum of the greater ones.
 At the threshold of 0.8 two windows of equal size differ in about 10 of 64 bits; a radius of 20 is more
 than three standard deviations beyond, and exact copies differ in none.
 
-A text shorter than an item is one window. Its shingles are looked up in those of the items, and items
-that it shares enough with are verified at any distance.
+A window at a text's edge may be cut by it, as long as what is left can reach the threshold. A text shorter
+than an item is one window. Its shingles are looked up in those of the items, and items that it shares
+enough with are verified at any distance.
 
 The benchmark is sent to the executors in blocks of bounded size, and each block is held against all texts
-in one pass without a shuffle.
+in one pass without a shuffle. The driver holds one block at a time.
 
 Defined results: an item of fewer than 5 words is one shingle; items or texts without words match nothing;
 null ids are kept; equal items all match; for each document and item the best window, then the first, is
@@ -34,6 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 SHINGLE = 5
 THRESHOLD = 0.8
 RADIUS = 20
@@ -80,9 +83,14 @@ def _packed(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1, bitorder="little").view("<u8").reshape(-1)
 
 
+def _totals(hashes: np.ndarray) -> np.ndarray:
+    """Sums of the planes up to each place."""
+    return np.concatenate([np.zeros((1, _BITS), np.int32), np.cumsum(_planes(hashes), axis=0, dtype=np.int32)])
+
+
 def fingerprints(hashes: np.ndarray, size: int) -> np.ndarray:
     """SimHash of each run of `size` shingles."""
-    total = np.concatenate([np.zeros((1, _BITS), np.int32), np.cumsum(_planes(hashes), axis=0, dtype=np.int32)])
+    total = _totals(hashes)
     return _packed(total[size:] - total[:-size])
 
 
@@ -174,11 +182,11 @@ class Items:
                 best[item] = Match(item, 0, score, distance, n)
 
     def _around(self, grams: np.ndarray, n: int, size: int, at: list[int], best: dict[int, Match]) -> None:
-        """Windows of `size` shingles, an item's, that hold a shingle at one of the places."""
-        last = len(grams) - size
-        lo = None
+        """Windows of `size` shingles, an item's, that hold a shingle at one of the places; the text's ends may cut some off."""
+        cut = size - int(np.ceil(self.threshold * size - 1e-9))
+        last, lo = len(grams) - size + cut, None
         for p, q in zip(at, [*at[1:], None], strict=True):
-            lo = max(0, p - size + 1) if lo is None else lo
+            lo = max(-cut, p - size + 1) if lo is None else lo
             # Overlapping neighbourhoods are one.
             if q is not None and q - size + 1 <= p + 1:
                 continue
@@ -188,7 +196,11 @@ class Items:
             lo = None
 
     def _search(self, grams: np.ndarray, n: int, size: int, lo: int, hi: int, best: dict[int, Match]) -> None:
-        prints = fingerprints(grams[lo : hi + size], size)
+        base = max(lo, 0)
+        total = _totals(grams[base : hi + size])
+        begin, end = np.arange(lo, hi + 1), np.arange(lo, hi + 1) + size
+        begin, end = np.maximum(begin, 0), np.minimum(end, len(grams))
+        prints = _packed(total[end - base] - total[begin - base])
         pairs = set()
         for k, (shift, mask) in enumerate(self.blocks):
             values = (prints >> np.uint64(shift)) & np.uint64(mask)
@@ -202,22 +214,25 @@ class Items:
             known = best.get(item)
             if known and known.similarity == 1.0:
                 continue
-            score = similarity(Counter(grams[lo + w : lo + w + size].tolist()), self.weights[item])
+            first, past = int(begin[w]), int(end[w])
+            score = similarity(Counter(grams[first:past].tolist()), self.weights[item])
             if score >= self.threshold and (known is None or score > known.similarity):
-                best[item] = Match(item, lo + w, score, distance, n)
+                best[item] = Match(item, first, score, distance, n - size + past - first)
+
+
+def _n_blocks(benchmark: DataFrame) -> int:
+    chars = benchmark.agg(F.sum(F.length(F.col("text").cast("string")))).first()[0] or 0
+    return max(1, -(-chars // BLOCK_CHARS))
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[tuple[list, list]]:
-    """ids and texts of the benchmark, in blocks of bounded size."""
+def _block(benchmark: DataFrame, part: int, parts: int) -> tuple[list, list]:
+    """ids and texts of a part of the benchmark, of bounded size."""
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = max(1, -(-chars // BLOCK_CHARS))
-    for part in range(parts):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
-        yield [r[0] for r in rows], [r[1] for r in rows]
+    rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
+    return [r[0] for r in rows], [r[1] for r in rows]
 
 
-def find(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
     """doc_id, item_id, start_word, n_words, similarity (6 digits), distance: each item that a document holds."""
 
     def scan(ids: list, texts: list) -> DataFrame:
@@ -237,17 +252,23 @@ def find(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, ra
         schema = "doc_id long, item_id long, start_word long, n_words long, similarity double, distance int"
         return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(rows, schema)
 
-    out = None
-    for ids, texts in _blocks(benchmark):
-        part = scan(ids, texts)
-        out = part if out is None else out.unionByName(part)
-    return out
+    parts = _n_blocks(benchmark)
+    if parts == 1:
+        return scan(*_block(benchmark, 0, 1))
+    for part in range(parts):
+        found = scan(*_block(benchmark, part, parts))
+        found.write.mode("append").option("compression", "zstd").parquet(scratch.path("found"))
+    return docs.sparkSession.read.schema(found.schema).parquet(scratch.path("found"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
     """The rows of docs, with all columns, whose text holds no benchmark item."""
-    for _, texts in _blocks(benchmark):
-        docs = docs.mapInArrow(_without(texts, docs.columns.index("text"), threshold, radius), docs.schema)
+    parts = _n_blocks(benchmark)
+    for part in range(parts):
+        if part:
+            docs = scratch.table(f"after{part}", docs)
+            scratch.drop(f"after{part - 1}")
+        docs = docs.mapInArrow(_without(_block(benchmark, part, parts)[1], docs.columns.index("text"), threshold, radius), docs.schema)
     return docs
 
 

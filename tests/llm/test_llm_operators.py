@@ -137,13 +137,24 @@ def licences_of_all_windows(text, known):
                 dice = 2 * common / (b - a + 1 + m)
                 if dice >= 0.8:
                     found.append((t, dice, a, b + 2))
-    out = []
+    best = []
     for f in sorted(found, key=lambda f: (-f[1], f[2], f[0], f[3])):
-        if all(f[3] <= g[2] or g[3] <= f[2] for g in out if known.names[g[0]][0] == known.names[f[0]][0]):
+        if all(f[3] <= g[2] or g[3] <= f[2] for g in best if g[0] == f[0]):
+            best.append(f)
+    common = lambda f: round(f[1] * (f[3] - 1 - f[2] + known.sizes[f[0]]) / 2)
+    out = []
+    for f in sorted(best, key=lambda f: (-common(f), -f[1], f[2], f[0])):
+        if all(f[3] <= g[2] or g[3] <= f[2] for g in out):
             out.append(f)
     return sorted(out, key=lambda f: (f[2], f[0]))
 
 
+def test_a_longer_licence_isn_t_reported_as_its_part():
+    known = license_scan.Templates()
+    for name, kind, text in license_scan.TEMPLATES:
+        assert [known.names[f[0]] for f in known.scan(f"Copyright X. {text} End")] == [(name, kind)]
+
+
 def test_license_scan_is_all_windows():
     rng = random.Random(7)
     known, texts = license_scan.Templates(), ["Licensed under the Apache Software License, Version 2.0"]
@@ -172,8 +183,10 @@ def test_decontamination_finds_what_brute_force_finds(spark):
     changed = items[1].split()
     changed[20] = "zzz"
     texts = [noise(50) + " " + items[0] + ". " + noise(9), noise(30) + " " + " ".join(changed), noise(200), None, "", items[2].upper(), noise(5) + " " + items[3], items[1][: len(items[1]) // 2]]
+    # Cut off by the text's end or beginning, in texts longer than the item.
+    texts += [noise(40) + " " + " ".join(items[2].split()[:52]), " ".join(items[2].split()[7:]) + " " + noise(30), noise(30) + " " + " ".join(items[2].split()[:40])]
     bench = spark.createDataFrame(list(enumerate([*items, None])), "item_id long, text string")
-    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.find(frame(spark, texts), bench).collect()}
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.find(frame(spark, texts), bench, Scratch(spark, "t")).collect()}
 
     def best(text, item):
         a, b = decontaminate.word_hashes(text), decontaminate.word_hashes(item)
@@ -181,11 +194,12 @@ def test_decontamination_finds_what_brute_force_finds(spark):
             return 0
         weights = Counter(decontaminate.shingles(b).tolist())
         k = min(5, len(b))
-        return max(decontaminate.similarity(Counter(decontaminate.shingles(a[i : i + len(b)], k).tolist()), weights) for i in range(len(a) - len(b) + 1))
+        grams, size = decontaminate.shingles(a, k).tolist(), len(b) - k + 1
+        return max(decontaminate.similarity(Counter(grams[max(0, i) : i + size]), weights) for i in range(1 - size, len(grams)))
 
     want = {(d, i): round(s, 6) for d, t in enumerate(texts) for i, x in enumerate(items) if (s := best(t, x)) >= 0.8}
     assert got == want
-    assert sorted(r["doc_id"] for r in decontaminate.clean(frame(spark, texts), bench).collect()) == [1, 2, 3, 4, 7]
+    assert sorted(r["doc_id"] for r in decontaminate.clean(frame(spark, texts), bench, Scratch(spark, "t")).collect()) == [1, 2, 3, 4, 7, 10]
 
 
 def test_decontamination_of_texts_shorter_than_the_item(spark):
@@ -197,7 +211,7 @@ def test_decontamination_of_texts_shorter_than_the_item(spark):
     texts += [x[: len(x) // 2] + ["zzz"] + x[len(x) // 2 + 1 : -c] for x in items for c in range(1, 6)]
     lines, bench_lines = [" ".join(t) for t in texts], [" ".join(x) for x in items]
     bench = spark.createDataFrame(list(enumerate(bench_lines)), "item_id long, text string")
-    found = decontaminate.find(frame(spark, lines), bench).collect()
+    found = decontaminate.find(frame(spark, lines), bench, Scratch(spark, "t")).collect()
 
     def best(text, item):
         k, n = min(5, len(item)), min(len(text), len(item))
@@ -208,7 +222,7 @@ def test_decontamination_of_texts_shorter_than_the_item(spark):
     got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found if len(texts[r["doc_id"]]) < len(items[r["item_id"]])}
     assert len(want) > 50 and got == want
     assert all(r["start_word"] + r["n_words"] <= len(texts[r["doc_id"]]) for r in found)
-    left = {r["doc_id"] for r in decontaminate.clean(frame(spark, lines), bench).collect()}
+    left = {r["doc_id"] for r in decontaminate.clean(frame(spark, lines), bench, Scratch(spark, "t")).collect()}
     assert not left & {d for d, _ in want}
 
 
@@ -264,6 +278,51 @@ def test_packing(spark):
     assert len(bins) <= got[0]["least_sequences"] + 1
 
 
+def fewest(sizes, capacity):
+    """The least number of bins, by trying all."""
+
+    def fits(rest, bins):
+        if not rest:
+            return True
+        tried = set()
+        for k, room in enumerate(bins):
+            if room >= rest[0] and room not in tried:
+                tried.add(room)
+                if fits(rest[1:], [*bins[:k], room - rest[0], *bins[k + 1 :]]):
+                    return True
+        return False
+
+    n = max(1, -(-sum(sizes) // capacity))
+    while not fits(sorted(sizes, reverse=True), [capacity] * n):
+        n += 1
+    return n
+
+
+def test_packing_bound_and_best_fit_against_the_fewest_bins():
+    rng = random.Random(6)
+    met = 0
+    for _ in range(150):
+        sizes = [rng.randrange(1, 21) for _ in range(rng.randrange(1, 10))]
+        least = fewest(sizes, 20)
+        bound = packing.lower_bound(np.bincount(sizes, minlength=21), 20)
+        bins, _ = packing.best_fit_decreasing(np.array(sizes), 20)
+        assert bound <= least <= bins.max() + 1
+        met += bound == bins.max() + 1
+    assert met > 120
+
+
+def test_packing_by_many_partitions_is_near_the_bound(spark):
+    rng = random.Random(12)
+    rows = [(i, 0, 0, rng.choice([100, 700, 900, 1500, 2100, 4096]), 0) for i in range(600)]
+    found = spark.createDataFrame(rows, packing._PIECES)
+    got = packing.pack(found, Scratch(spark, "t"), target=60).collect()
+    assert len(got) == 600 and len({r["doc_id"] for r in got}) == 600
+    fill = Counter()
+    for r in got:
+        fill[r["sequence_id"]] += r["length"]
+    assert max(fill.values()) <= 4096 and len(fill) <= got[0]["least_sequences"] * 1.02 + 1
+
+
 def test_pii_base_spans(spark):
     texts = ["a.b@c.de, x@y z", "1.2.3.4 300.1.1.1 01.02.03.004", "4111 1111 1111 1111 and 4111-1111-1111-1112", "call +1 (555) 123-4567 or +12 34", None, "", "🙂 q@r.st"]
     got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in pii.find(frame(spark, texts), Scratch(spark, "t")).collect()}
@@ -443,7 +502,7 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert quality.judge(docs).collect() == []
     assert license_scan.scan(docs).collect() == []
-    assert decontaminate.find(docs, bench).collect() == []
+    assert decontaminate.find(docs, bench, scratch).collect() == []
     assert pii.find(docs, scratch).collect() == []
     assert line_dedup.dedup(docs, scratch).collect() == []
     assert packing.pack(packing.pieces(docs), scratch).collect() == []
