@@ -48,7 +48,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"), Scratch(spark, "pipeline-benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
