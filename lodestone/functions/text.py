@@ -147,9 +147,10 @@ def cyrillic_share(text: Column) -> Column:
     return F.when(n > 0, F.regexp_count(raw, F.lit("[а-яА-ЯёЁ]")) / n).otherwise(F.lit(0.0))
 
 
-def duplicate_key(text: Column, limit: int = 8000) -> Column:
-    """Lower case, single blanks, digit runs as 0, cut at the limit."""
-    return F.substring(F.regexp_replace(collapsed(F.lower(F.coalesce(text, F.lit("")))), "[0-9]+", "0"), 1, limit)
+def duplicate_key(text: Column, limit: int | None = 8000) -> Column:
+    """Lower case, single blanks, digit runs as 0, cut at the limit; None leaves it whole."""
+    form = F.regexp_replace(collapsed(F.lower(F.coalesce(text, F.lit("")))), "[0-9]+", "0")
+    return form if limit is None else F.substring(form, 1, limit)
 
 
 def without_nul(text: Column) -> Column:

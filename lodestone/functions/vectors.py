@@ -16,9 +16,10 @@ def norm(v: Column) -> Column:
 
 
 def normalised(v: Column) -> Column:
-    """v at length 1; a zero vector stays as it is."""
+    """v at length 1; a zero vector stays as it is. The length is bound, so it is taken once and not at each place."""
+    divided = lambda length: F.transform(v, lambda x: x.cast("double") / length)
     length = norm(v)
-    return F.transform(v, lambda x: x.cast("double") / F.when(length > 0, length).otherwise(F.lit(1.0)))
+    return F.get(F.transform(F.array(F.when(length > 0, length).otherwise(F.lit(1.0))), divided), 0)
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 def shared_folder(spark) -> str:
     """A new folder below the one that all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 

@@ -33,7 +33,7 @@ def leave_one_out(vectors: DataFrame, key: str, label: str = "label", vector: st
     @F.pandas_udf("own double, best_other double")
     def score(own_label: pd.Series, units: pd.Series) -> pd.DataFrame:
         labels, n, total = sent.value
-        x, at = np.stack(units.to_numpy()).astype(float), np.searchsorted(labels, own_label.to_numpy())
+        x, at = TH._unit(np.stack(units.to_numpy()).astype(float)), np.searchsorted(labels, own_label.to_numpy())
         rest = total[at] - x
         length = np.linalg.norm(rest, axis=1)
         own = (rest * x).sum(1) / np.where(length > 0, length, 1)
@@ -41,7 +41,7 @@ def leave_one_out(vectors: DataFrame, key: str, label: str = "label", vector: st
         all_sims[np.arange(len(x)), at] = -2
         return pd.DataFrame({"own": np.where(n[at] > 1, own, np.nan), "best_other": all_sims.max(1) if len(labels) > 1 else np.full(len(x), np.nan)})
 
-    out = unit.withColumn("_s", score(F.col(label), F.col("_u"))).filter(F.col(label) != TH.NOISE)
+    out = unit.withColumn("_s", score(F.col(label), F.col(vector))).filter(F.col(label) != TH.NOISE)
     out = out.select(key, F.col(label).alias("label"), F.col("_s.own").alias("own"), F.col("_s.best_other").alias("best_other"))
     return out.filter(~F.isnan("own")).withColumn("correct", F.col("own") > F.col("best_other"))
 

@@ -25,10 +25,15 @@ def top_value(rows: DataFrame, group: str, value: str) -> DataFrame:
     return n.withColumn("_r", F.row_number().over(order)).filter("_r = 1").drop("_r")
 
 
-def nearest_rank(value: str, share_numerator: int, share_denominator: int) -> Column:
-    """The value at place n * share of the sorted values, from 0: a median or p90 that is always one of them."""
-    v = F.sort_array(F.collect_list(value))
-    return F.get(v, F.floor(F.size(v) * share_numerator / share_denominator).cast("int"))
+def nearest_ranks(rows: DataFrame, group: str, value: str, shares: dict[str, tuple[int, int]]) -> DataFrame:
+    """For each share the value at place n * share of the group's sorted values, from 0: a median or p90 that is one of them.
+
+    Values are counted first, so a group is as many rows as it has different values.
+    """
+    counted = rows.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count("*").alias("n"))
+    own = Window.partitionBy(group)
+    placed = counted.withColumns({"upto": F.sum("n").over(own.orderBy(value)), "total": F.sum("n").over(own)})
+    return placed.groupBy(group).agg(*(F.min(F.when(F.col("upto") > F.floor(F.col("total") * a / b), F.col(value))).alias(name) for name, (a, b) in shares.items()))
 
 
 def coverage_at(rows: DataFrame, value: str, thresholds: list[float]) -> DataFrame:

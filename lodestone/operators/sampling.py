@@ -32,9 +32,23 @@ def shard(rows: DataFrame, key: str, shards: int, k: int) -> DataFrame:
 
 
 def halves(rows: DataFrame, key: str, seed: int = 42) -> DataFrame:
-    """rows with `part`, train or test: the half by hash, without a global sort; sizes agree up to chance."""
-    bit = F.conv(F.substring(shuffled(key, seed), 1, 1), 16, 10).cast("int") < 8
-    return rows.withColumn("part", F.when(bit, F.lit("train")).otherwise(F.lit("test")))
+    """rows with `part`: of n rows the n // 2 first by hash are train, the others test.
+
+    Rows are counted by the first four digits of their hash; only those with the digits at which the half is
+    reached, one in 65,536, are ordered.
+    """
+    marked = rows.withColumn("_h", shuffled(key, seed)).withColumn("_d", F.substring("_h", 1, 4))
+    counts, at, pivot = sorted((r["_d"] or "", r["count"]) for r in marked.groupBy("_d").count().collect()), 0, ""
+    half = sum(n for _, n in counts) // 2
+    for pivot, n in counts:  # noqa: B007
+        if at + n > half:
+            break
+        at += n
+    digits = F.coalesce("_d", F.lit(""))
+    inside = marked.filter(digits == pivot).withColumn("_r", F.row_number().over(Window.orderBy("_h", key)))
+    inside = inside.withColumn("part", F.when(F.col("_r") <= half - at, F.lit("train")).otherwise(F.lit("test"))).drop("_r")
+    outside = marked.filter(digits != pivot).withColumn("part", F.when(digits < pivot, F.lit("train")).otherwise(F.lit("test")))
+    return outside.unionByName(inside).drop("_h", "_d")
 
 
 def within_budget(rows: DataFrame, group: str, size: str, budget: int, *order) -> DataFrame:

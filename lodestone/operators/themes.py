@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import vectors as V
+from . import graph
 
 NOISE, OVERRIDE_THEME = -1, 90
 ASSIGN, MERGE, REGISTRY, TOPIC_MERGE = 0.8, 0.92, 0.90, 0.68
@@ -36,6 +37,11 @@ def centroids(vectors: DataFrame, label: str = "label", vector: str = "embedding
     return known.groupBy(F.col(label).cast("int").alias("label")).agg(vector_to_array(mean).alias("centroid"), F.count("*").alias("n"))
 
 
+def mean_of(vector: str) -> Column:
+    """Mean of a group's vectors."""
+    return vector_to_array(Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>"))))
+
+
 def collected(themes: DataFrame, *columns: str) -> list:
     """The rows of a theme table, on the driver, in order of their labels."""
     rows = themes.select("label", *columns).limit(MAX_THEMES + 1).collect()
@@ -232,6 +238,8 @@ def class_terms(docs: DataFrame, group: str, text: str = "text", n: int = 10) ->
     words = docs.select(F.col(group).alias("group"), T.term_words(F.col(text)).alias("w"))
     pairs = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
     tf = words.select("group", F.explode(F.concat("w", pairs)).alias("term")).groupBy("group", "term").agg(F.count("*").alias("tf"))
+    # Written, as three steps read it: no text is cut into words twice.
+    tf = graph.kept(tf, graph.shared_folder(docs.sparkSession))
     # Both totals come from the counted terms: a class's words are its terms here.
     totals = tf.groupBy("group").agg(F.sum("tf").alias("n")).agg(F.avg("n").alias("mean_words"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))

@@ -93,7 +93,7 @@ def type_pivot(t):
 
 @query("WITH v AS (SELECT source, n_chars, row_number() OVER (PARTITION BY source ORDER BY n_chars) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM documents) SELECT source, max(n_chars) FILTER (WHERE r = n // 2) AS med, max(n_chars) FILTER (WHERE r = n * 9 // 10) AS p90 FROM v GROUP BY source")
 def nearest_rank(t):
-    return t.documents.groupBy("source").agg(R.nearest_rank("n_chars", 1, 2).alias("med"), R.nearest_rank("n_chars", 9, 10).alias("p90"))
+    return R.nearest_ranks(t.documents, "source", "n_chars", {"med": (1, 2), "p90": (9, 10)})
 
 
 @query("SELECT source, round(quantile_cont(n_chars, 0.1), 6) AS p10, round(quantile_cont(n_chars, 0.5), 6) AS p50, round(quantile_cont(n_chars, 0.9), 6) AS p90 FROM documents GROUP BY source")
@@ -160,9 +160,9 @@ def anti_join_pending(t):
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)")
 def null_aware_not_in(t):
-    t.documents.createOrReplaceTempView("_documents")
-    t.labels.createOrReplaceTempView("_labels")
-    return t.spark.sql("SELECT doc_id FROM _documents WHERE doc_id NOT IN (SELECT doc_id FROM _labels WHERE quality = 0)")
+    from ..operators.gates import not_in
+
+    return not_in(t.documents.select("doc_id"), "doc_id", t.labels.filter("quality = 0").select("doc_id"))
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")

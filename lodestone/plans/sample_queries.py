@@ -34,7 +34,7 @@ def shard_select(t):
     return S.shard(t.documents.select("doc_id"), "doc_id", 7, 3)
 
 
-@query(f"SELECT doc_id, CASE WHEN substr({_order('doc_id')}, 1, 1) < '8' THEN 'train' ELSE 'test' END AS part FROM documents")
+@query(f"SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY {_order('doc_id')}, doc_id) <= (SELECT count(*) FROM documents) // 2 THEN 'train' ELSE 'test' END AS part FROM documents")
 def train_test_halves(t):
     return S.halves(t.documents.select("doc_id"), "doc_id")
 

@@ -19,7 +19,8 @@ def _collapsed(value: str) -> str:
     return rf"trim(regexp_replace({value}, '{WS}+', ' ', 'g'))"
 
 
-_KEY = rf"substr(regexp_replace(trim(regexp_replace(lower(coalesce(text, '')), '{WS}+', ' ', 'g')), '[0-9]+', '0', 'g'), 1, 8000)"
+_WHOLE = rf"regexp_replace(trim(regexp_replace(lower(coalesce(text, '')), '{WS}+', ' ', 'g')), '[0-9]+', '0', 'g')"
+_KEY = f"substr({_WHOLE}, 1, 8000)"
 
 
 @query(rf"""
@@ -61,7 +62,7 @@ def norm_dup_key(t):
     return t.documents.select("doc_id", F.md5(T.duplicate_key(F.col("text"))).alias("group_key"))
 
 
-@query(rf"SELECT md5({_KEY}) AS group_key, count(*) AS n, min(doc_id) AS first FROM documents GROUP BY 1")
+@query(rf"SELECT md5({_WHOLE}) AS group_key, count(*) AS n, min(doc_id) AS first FROM documents GROUP BY 1")
 def exact_duplicates(t):
     return dedup.exact(t.documents, "doc_id")
 
