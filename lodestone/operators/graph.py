@@ -24,6 +24,12 @@ def kept(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores: a table that is read in fewer parts than there are cores is dealt anew, so one of any size is not."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def components(edges: DataFrame, folder: str | None = None) -> DataFrame:
     """node, root of edges (a, b): root is the least node that a node is connected to.
 

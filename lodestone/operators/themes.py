@@ -235,7 +235,7 @@ def class_terms(docs: DataFrame, group: str, text: str = "text", n: int = 10) ->
 
     score = tf * ln(1 + mean words of a class / number of classes with the term); of equal ones the term decides.
     """
-    words = docs.select(F.col(group).alias("group"), T.term_words(F.col(text)).alias("w"))
+    words = graph.spread(docs.select(F.col(group).alias("group"), F.col(text).alias("text"))).select("group", T.term_words(F.col("text")).alias("w"))
     pairs = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
     tf = words.select("group", F.explode(F.concat("w", pairs)).alias("term")).groupBy("group", "term").agg(F.count("*").alias("tf"))
     # Written, as three steps read it: no text is cut into words twice.
