@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+import zlib
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: First bytes in hex, and the category that they stand for, in the order of the test.
 SIGNATURES = (
@@ -25,6 +31,23 @@ SIGNATURES = (
     ("FEFF3C3F786D6C", "xml"),
     ("308006092A864886F70D0107", "pkcs7"),
 )
+#: Stream names of a compound file and what they tell, in the order of the test.
+OLE2_STREAMS = (
+    ("Workbook", "excel"),
+    ("WordDocument", "word"),
+    ("Book", "excel"),
+    ("PowerPoint Document", "word"),
+    ("1Table", "word"),
+    ("0Table", "word"),
+    ("_xlwd.MSExcelWorkspace", "excel"),
+)
+#: Media types in an archive.
+MEDIA_TYPES = (
+    ("application/vnd.openxmlformats-officedocument.wordprocessingml.document", "word"),
+    ("application/vnd.openxmlformats-officedocument.spreadsheetml.sheet", "excel"),
+    ("application/vnd.oasis.opendocument.text", "word"),
+    ("application/vnd.oasis.opendocument.spreadsheet", "excel"),
+)
 #: Bytes looked at for the text test, and the share of NUL that ends it.
 TEXT_BYTES, NUL_SHARE = 8192, 0.10
 GARBAGE_BYTES, GARBAGE_LINES = 3072, 2
@@ -44,10 +67,52 @@ def signature(content: Column) -> Column:
 
 
 def ole2_kind(content: Column) -> Column:
-    """word, excel or slides by the stream names (UTF-16LE) in the first 64 KB."""
-    shown = head(content, 65536)
-    named = lambda s: F.contains(shown, F.lit(s.encode("utf-16-le").hex().upper()))
-    return F.when(named("WordDocument"), "word").when(named("Workbook") | named("Book"), "excel").when(named("PowerPoint Document"), "slides")
+    """word or excel by the stream names (UTF-16LE) in the first 64 KB, the first that stands there; null for files under 512 bytes."""
+    shown, out = head(content, 65536), F.lit(None).cast("string")
+    for name, kind in reversed(OLE2_STREAMS):
+        out = F.when(F.contains(shown, F.lit(name.encode("utf-16-le").hex().upper())), kind).otherwise(out)
+    return F.when(F.octet_length(content) >= 512, out)
+
+
+def riff_kind(content: Column) -> Column:
+    return F.when(F.hex(F.substring(content, 9, 4)) == "57454250", "image")
+
+
+@F.pandas_udf(StringType())
+def zip_kind(content: pd.Series) -> pd.Series:
+    """word or excel by an archive's content types, member names, media type or manifest; null for other or broken archives."""
+
+    def named(archive: zipfile.ZipFile, member: str, kinds: tuple) -> str | None:
+        try:
+            text = archive.read(member).decode("utf-8", "replace")
+        except (KeyError, OSError, RuntimeError, NotImplementedError, zipfile.BadZipFile, zlib.error):
+            return None
+        return next((kind for mark, kind in kinds if mark in text or mark in text.lower()), None)
+
+    def of(data: bytes | None) -> str | None:
+        try:
+            archive = zipfile.ZipFile(io.BytesIO(data or b""))
+        except (zipfile.BadZipFile, ValueError, OSError):
+            return None
+        with archive:
+            members = archive.namelist()
+            by_folder = next((kind for folder, kind in (("word/", "word"), ("xl/", "excel")) if any(m.startswith(folder) for m in members)), None)
+            return (
+                named(archive, "[Content_Types].xml", MEDIA_TYPES) or by_folder or named(archive, "mimetype", MEDIA_TYPES)
+                or named(archive, "META-INF/manifest.xml", (("text", "word"), ("spreadsheet", "excel")))
+            )
+
+    return content.map(of)
+
+
+def kind(content: Column) -> Column:
+    """signature, with containers named by what they hold; null for a container of something else.
+
+    The archives' bytes go to Python, those of other files don't.
+    """
+    first = signature(content)
+    archive = zip_kind(F.when(first == "zip", content))
+    return F.when(first == "zip", archive).when(first == "ole2", ole2_kind(content)).when(first == "riff", riff_kind(content)).otherwise(first)
 
 
 def likely_text(content: Column) -> Column:

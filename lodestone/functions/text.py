@@ -193,3 +193,25 @@ def compressed_runs(items: Column) -> Column:
 
     runs = F.aggregate(items, begin, step)
     return F.transform(runs, lambda r: F.when(r["n"] > 1, F.concat(r["item"], F.lit(" (×"), r["n"].cast("string"), F.lit(")"))).otherwise(r["item"]))
+
+
+def term_noise_free(text: Column) -> Column:
+    """text without kind and unit marks and without prepositions, for top terms."""
+    bare = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\b(?:вид|ед):[^\s;\]}]+", " ")
+    return F.regexp_replace(bare, r"(?iuU)(?<!\w)(?:на|по|за|от|в|к|с|и|об|до|из|вид|ед|шт)(?!\w)", " ")
+
+
+def theme_name(label: Column, names: dict[str, str], words: Column, rest: str) -> Column:
+    """Name to show for a theme label: noise is `rest`, T<n> its given name, D<n> with the first three of its words."""
+    given = reduce(lambda out, kv: F.when(label == kv[0], kv[1]).otherwise(out), names.items(), label)
+    drift = F.concat(label, F.lit(" "), F.array_join(F.slice(F.split(F.coalesce(words, F.lit("")), ", "), 1, 3), " "))
+    return F.when(label == "noise", rest).when(label.startswith("T"), given).when(label.rlike("^D[0-9]+$"), drift).otherwise(label)
+
+
+def variant(override: Column, setting: Column) -> Column:
+    """Name of the variant in use: the override if there is one, else the setting if it isn't empty, else default.
+
+    A name that is no identifier is an error when the row is read.
+    """
+    name = F.coalesce(override, F.when(setting != "", setting), F.lit("default"))
+    return F.when(name.rlike("^[A-Za-z_][A-Za-z0-9_]*$"), name).otherwise(F.raise_error(F.concat(F.lit("not a variant name: "), name)))

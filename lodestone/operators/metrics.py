@@ -91,6 +91,65 @@ def nearest_neighbours(vectors: DataFrame, key: str, k: int = 10, label: str = "
     return out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def identity_ranks(pairs: DataFrame, key: str, truth: str, found: str, block: int = QUERY_BLOCK) -> DataFrame:
+    """key, own (cosine of the row's two vectors), rank: 1 + how many rows have a truth more similar to its found vector.
+
+    Every row with both vectors is a query. Queries go to the tasks in blocks by a hash of their key; each task
+    adds up counts for a block, so no pairs are made and the driver holds one block.
+    """
+    spark = pairs.sparkSession
+    known = pairs.filter(F.col(truth).isNotNull() & F.col(found).isNotNull())
+    known = known.select(F.col(key).alias("key"), V.normalised(F.col(truth)).alias("t"), V.normalised(F.col(found)).alias("f"))
+    blocks, folder, out = -(-known.count() // block), graph.shared_folder(spark), None
+    for b in range(blocks):
+        part = known.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b).toPandas()
+        if not len(part):
+            continue
+        f = np.stack(part["f"].to_numpy())
+        own = (np.stack(part["t"].to_numpy()) * f).sum(1)
+        sent = spark.sparkContext.broadcast((part["key"].to_numpy(), f, own))
+
+        def count(batches, sent=sent):
+            ids, f, own = sent.value
+            above = np.zeros(len(ids), np.int64)
+            for pdf in batches:
+                if len(pdf):
+                    sims = np.stack(pdf["t"].to_numpy()) @ f.T
+                    # A row isn't above itself, whatever the order of its sums.
+                    above += ((sims > own) & (pdf["key"].to_numpy()[:, None] != ids[None, :])).sum(0)
+            yield pd.DataFrame({"key": ids, "own": own, "above": above})
+
+        found_here = graph.kept(known.select("key", "t").mapInPandas(count, "key long, own double, above long").groupBy("key").agg(F.first("own").alias("own"), F.sum("above").alias("above")), f"{folder}/block{b}")
+        sent.unpersist()
+        out = found_here if out is None else out.unionByName(found_here)
+    if out is None:
+        return spark.createDataFrame([], f"{key} long, own double, rank long")
+    return out.select(F.col("key").alias(key), "own", (F.col("above") + 1).alias("rank"))
+
+
+def match_margins(terms: DataFrame, key: str, match: str, vector: str, candidates: DataFrame) -> DataFrame:
+    """key, own (cosine to the candidate that is the term's match), best_other, margin, hit (own > best_other).
+
+    candidates: label and centroid, a bounded table. Terms without a vector or a known match are left out.
+    """
+    rows = TH.collected(candidates, "centroid")
+    labels, total = np.array([r["label"] for r in rows]), np.array([r["centroid"] for r in rows], float)
+    sent = terms.sparkSession.sparkContext.broadcast((labels, total))
+
+    @F.pandas_udf("own double, best_other double")
+    def score(label: pd.Series, vector: pd.Series) -> pd.DataFrame:
+        labels, total = sent.value
+        sims, at = TH._unit(np.stack(vector.to_numpy()).astype(float)) @ TH._unit(total).T, np.searchsorted(labels, label.to_numpy())
+        rows = np.arange(len(sims))
+        own = sims[rows, at].copy()
+        sims[rows, at] = -2
+        return pd.DataFrame({"own": own, "best_other": sims.max(1)})
+
+    known = terms.filter(F.col(vector).isNotNull() & F.col(match).isin([int(x) for x in labels]))
+    out = known.withColumn("_s", score(F.col(match), F.col(vector))).select(key, "_s.own", "_s.best_other")
+    return out.withColumn("margin", F.col("own") - F.col("best_other")).withColumn("hit", F.col("margin") > 0)
+
+
 def contingency(rows: DataFrame, a: str, b: str) -> DataFrame:
     return rows.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count("*").cast("double").alias("n"))
 

@@ -78,13 +78,20 @@ def grouped_split(rows: DataFrame, key: str, kind: str, group: str, share: float
     """rows with `split`, train or test, no group in both.
 
     Per kind, the share (rounded half to even) of the singles and, by running total, of the small groups go to
-    test; groups over the cap are always in train. Groups are taken in random order of their names. A group of
-    several kinds is decided by the first kind in order. Only one row a group is ordered, not the rows.
+    test; groups over the cap are always in train. Groups are taken in random order of their names. Where a kind
+    of two groups or more has one side only, its smallest group goes to the other. A group of several kinds is
+    decided by the first kind in order. Only one row a group is ordered, not the rows.
     """
     groups = rows.groupBy(group).agg(F.count("*").alias("n"), F.min(kind).alias("_kind"))
     groups = groups.withColumn("_tier", F.when(F.col("n") == 1, 0).when(F.col("n") <= cap, 1).otherwise(2))
     by_tier = Window.partitionBy("_kind", "_tier")
     before = F.coalesce(F.sum("n").over(by_tier.orderBy(shuffled(group, seed), group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    target = F.bround(F.sum("n").over(by_tier) * share)
-    split = F.when((F.col("_tier") < 2) & (before < target), F.lit("test")).otherwise(F.lit("train"))
-    return rows.join(groups.select(group, split.alias("split")), group)
+    target = F.sum("n").over(by_tier) * share
+    test = (F.col("_tier") < 2) & (before < F.when(F.col("_tier") == 0, F.bround(target)).otherwise(target))
+    dealt = groups.select(group, "n", "_kind", test.alias("_test"))
+    sides = dealt.groupBy("_kind").agg(
+        F.count("*").alias("_groups"), F.bool_and("_test").alias("_all"), F.bool_or("_test").alias("_any"), F.min(F.struct("n", shuffled(group, seed), F.col(group).alias("g")))["g"].alias("_least"),
+    )
+    lone = (F.col("_groups") >= 2) & (F.col("_all") | ~F.col("_any")) & F.col(group).eqNullSafe(F.col("_least"))
+    dealt = dealt.join(sides.withColumnRenamed("_kind", "_k"), F.col("_kind").eqNullSafe(F.col("_k")))
+    return rows.join(dealt.select(group, F.when(F.col("_test") != lone, "test").otherwise("train").alias("split")), group)

@@ -55,6 +55,37 @@ def bag_overlap(pairs: DataFrame, key: str, truth: Column, found: Column) -> Dat
     )
 
 
+def word_substitutions(pairs: DataFrame, key: str, truth: Column, found: Column, most: int = 2) -> DataFrame:
+    """key, n_missed, n_invented, substitutions: missed words (in order) each with the nearest invented word not taken yet.
+
+    Nearest is by edits, at most `most` of them, between words whose lengths differ by no more than 2; of equal
+    ones the first. Words are counted before the shuffle, and only those that differ are gathered by pair.
+    """
+    items = lambda c, side: pairs.select(key, F.posexplode(c).alias("at", "item"), F.lit(side).alias("side"))
+    both = items(truth, 1).unionByName(items(found, -1))
+    surplus = both.groupBy(key, "item").agg(F.sum("side").alias("n"), F.min(F.when(F.col("side") == 1, F.col("at"))).alias("a"), F.min(F.when(F.col("side") == -1, F.col("at"))).alias("b"))
+    of = lambda keep, at: F.collect_list(F.when(keep, F.struct(at, "item", F.abs("n").cast("int").alias("n"))))
+    sides = surplus.filter("n <> 0").groupBy(key).agg(of(F.col("n") > 0, "a").alias("missed"), of(F.col("n") < 0, "b").alias("invented"))
+    spelt = lambda c: F.flatten(F.transform(F.array_sort(c), lambda x: F.array_repeat(x["item"], x["n"])))
+    sides = sides.select(key, spelt("missed").alias("missed"), spelt("invented").alias("invented"))
+    start = F.struct(F.col("invented").alias("left"), F.array().cast("array<struct<word string, found string>>").alias("out"))
+
+    def step(state: Column, word: Column) -> Column:
+        def edits(x: Column, i: Column) -> Column:
+            near = F.abs(F.length(x) - F.length(word)) <= 2
+            return F.struct(F.when(near, F.levenshtein(x, word)).otherwise(most + 1).alias("d"), i.alias("i"), x.alias("x"))
+
+        def taken(best: Column) -> Column:
+            rest = F.filter(state["left"], lambda _, i: i != best["i"])
+            pair = F.struct(word.alias("word"), best["x"].alias("found"))
+            return F.when(best["d"] <= most, F.struct(rest.alias("left"), F.concat(state["out"], F.array(pair)).alias("out"))).otherwise(state)
+
+        return F.get(F.transform(F.array(F.array_min(F.transform(state["left"], edits))), taken), 0)
+
+    paired_words = F.aggregate("missed", start, step, lambda s: s["out"])
+    return sides.select(key, F.size("missed").alias("n_missed"), F.size("invented").alias("n_invented"), paired_words.alias("substitutions"))
+
+
 def bag_f1(overlap: DataFrame) -> DataFrame:
     """overlap with f1 of precision and recall, 0 without a common item."""
     return overlap.withColumn("f1", 2 * F.col("common") / (F.col("n_truth") + F.col("n_found")))
@@ -75,6 +106,11 @@ def paired(scores: DataFrame, key: str, a: str, b: str, tie: float = TIE) -> Dat
     )
 
 
+def tail_mean(scores: DataFrame, score: str, n: int = 20) -> DataFrame:
+    """One row: sum of the n lowest scores over n."""
+    return scores.select(score).filter(F.col(score).isNotNull()).orderBy(score).limit(n).agg((F.sum(score) / n).alias("tail_mean"))
+
+
 def loops(truth: Column, found: Column) -> Column:
     """Whether a recogniser ran on: far more text than the truth has."""
     return length_coverage(truth, found) > LOOP
