@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, line_dedup, ngram_join, packing, pii, quality, resharding, token_shards, warc
+from . import decontaminate, dual_tree, license_scan, line_dedup, ngram_join, packing, pii, quality, resharding, token_shards, vector_packing, warc, whitening
 from .common import Scratch, read
 
 
@@ -85,8 +85,35 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DIM, CLUSTERS, ROUNDS = 64, 16, 3
+
+
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vector = F.col("embedding")
+    rows = read(spark, sf_dir, "embeddings").filter(dual_tree.usable(vector, DIM))
+    found = dual_tree.cluster(rows.select(F.col("vec_id").alias("id"), dual_tree.quantised(vector, 64).alias("x")), Scratch(spark, "clusters"), DIM, CLUSTERS, ROUNDS)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").filter(whitening.usable(F.col("embedding")))
+    return whitening.whiten(rows.select("vec_id", whitening.entries(F.col("embedding")).alias("x")), Scratch(spark, "whitening"))
+
+
+def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A plain document has no prompt: all its ids bear loss.
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return vector_packing.pack(docs, Scratch(spark, "vectors"))
+
+
+_ALL = (
+    op1_ngram_join, op2_warc, op3_license_scan, op4_decontamination, op5_token_shards, op6_pii, op7_packing, op8_line_dedup, op9_resharding, op10_quality_rules,
+    op11_centroid_clustering, op12_whitening, op13_vector_packing,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_join, op2_warc, op3_license_scan, op4_decontamination, op5_token_shards, op6_pii, op7_packing, op8_line_dedup, op9_resharding, op10_quality_rules)}
+    return {f.__name__: f for f in _ALL}
 
 
 _STOP = ", ".join(f"'{w}'" for w in sorted({w for ws in quality.STOP_WORDS.values() for w in ws}))
@@ -118,5 +145,33 @@ FROM b
 """
 
 
+def _lloyd() -> str:
+    """The rounds written out: a_i assigns by the centroids c_i, and c_(i + 1) are their exact floored means."""
+    assign = """a{i} AS (
+  SELECT r, min(d * 64 + k) % 64 AS k, min(d) AS d
+  FROM (SELECT v.r, c.k, list_sum(list_transform(range(1, 65), lambda j: (v.x[j] - c.c[j]) * (v.x[j] - c.c[j])))::HUGEINT AS d FROM v, c{i} c) GROUP BY r)"""
+    mean = """m{n} AS (
+  SELECT k, list(q ORDER BY j) AS c
+  FROM (SELECT k, j, (s - (s % n + n) % n) // n AS q
+        FROM (SELECT a.k, t.j, sum(v.x[t.j])::HUGEINT AS s, count(*)::HUGEINT AS n FROM a{i} a JOIN v USING (r), range(1, 65) t(j) GROUP BY ALL)) GROUP BY k),
+c{n} AS (SELECT c.k, coalesce(m.c, c.c) AS c FROM c{i} c LEFT JOIN m{n} m ON c.k = m.k)"""
+    steps = [part for i in range(ROUNDS) for part in (assign.format(i=i), mean.format(i=i, n=i + 1))]
+    return ",\n".join([*steps, assign.format(i=ROUNDS)])
+
+
+_CLUSTERING = f"""
+WITH w AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {DIM} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 64) AS HUGEINT)) AS x FROM w),
+c0 AS (SELECT row_number() OVER (ORDER BY h, x) - 1 AS k, x AS c FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h, x FROM v) ORDER BY h, x LIMIT {CLUSTERS}),
+{_lloyd()}
+SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{ROUNDS} a JOIN v USING (r) JOIN c{ROUNDS} c ON c.k = a.k
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality_rules": _QUALITY}
+    return {"op10_quality_rules": _QUALITY, "op11_centroid_clustering": _CLUSTERING}
