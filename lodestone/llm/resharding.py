@@ -1,7 +1,9 @@
 """Minimum-cost-flow resharding.
 
-A shard's rows fall into blocks by the hash of their id: a fixed number of blocks a shard, whatever the
-data, so block sizes are the only thing the driver sees. A minimum-cost flow from old shard sizes to new
+A shard's rows fall into blocks by the hash of their id and text: a fixed number of blocks a shard, whatever
+the data, so block sizes are the only thing the driver sees. A block of several rows that holds more than one
+in HEAVY of a new shard, as when equal rows are many, is cut further by row number; the rows are written with
+their numbers first, so that all later steps see the same ones. A minimum-cost flow from old shard sizes to new
 capacities says how many bytes each shard sends where, with a byte that stays costing nothing; whole
 blocks are then chosen for each transfer, the largest that still fit first. The plan is a table of bounded
 size, so joining it to the rows needs no shuffle. Only shards that send or get a block are rewritten.
@@ -23,6 +25,8 @@ from .common import Scratch
 
 #: Blocks in each old shard. Shard sizes come out equal to about a block's share of a shard.
 BLOCKS = 1024
+#: A block of several rows that holds more than one in so many of a new shard's bytes is cut into parts of about that size.
+HEAVY = 128
 #: Bytes of a file that a rewritten shard is cut into, about.
 FILE_BYTES = 256 << 20
 
@@ -115,11 +119,20 @@ def reshard(
     """
     spark = rows.sparkSession
     rows = rows.drop(*({"shard", "slot", "moved"} - {id_column, text_column, old_shard}))
-    block = F.pmod(F.xxhash64(F.col(id_column), F.lit(9)), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64(F.col(id_column), F.col(text_column), F.lit(9)), F.lit(blocks)).cast("int")
     size = F.coalesce(F.octet_length(text_column), F.lit(0)).cast("long") + 1
     marked = rows.withColumns({"_old": F.coalesce(F.col(old_shard), F.lit(0)), "_block": block, "_size": size})
     # At most `blocks` rows for each old shard, whatever the data.
-    stats = marked.groupBy("_old", "_block").agg(F.sum("_size").alias("size"), F.count("*").alias("n")).collect()
+    by_block = lambda: marked.groupBy("_old", "_block").agg(F.sum("_size").alias("size"), F.count("*").alias("n")).collect()
+    stats = by_block()
+    share = sum(r["size"] for r in stats) / shards / HEAVY
+    # At most HEAVY * shards blocks, and about twice as many parts.
+    if heavy := [(r["_old"], r["_block"], -int(-r["size"] // share)) for r in stats if r["n"] > 1 and r["size"] > share]:
+        cut = F.broadcast(spark.createDataFrame(heavy, "_old int, _block int, _heavy int"))
+        part = F.coalesce(F.pmod(F.col("_row"), F.col("_heavy")), F.lit(0)).cast("int")
+        numbered = scratch.table("numbered", marked.withColumns({"_row": F.monotonically_increasing_id(), "_old": F.col("_old").cast("int")}))
+        marked = numbered.join(cut, ["_old", "_block"], "left").withColumn("_block", F.col("_block") + blocks * part).drop("_row", "_heavy")
+        stats = by_block()
     sizes = {(r["_old"], r["_block"]): r["size"] for r in stats}
     rows_of = {(r["_old"], r["_block"]): r["n"] for r in stats}
     total, sources = sum(sizes.values()), max([shards, *(s + 1 for s, _ in sizes)])

@@ -6,7 +6,7 @@ task are ever summed. Files go to a folder that all executors share, under names
 a file counts only if the manifest, which Spark commits, names it.
 
 Defined results: a null or empty text has just the end id; rows with a null doc_id come first; equal
-doc_ids follow each other in the order of their texts; an empty table gives no files and no rows.
+doc_ids follow each other in an order of their texts' hashes; an empty table gives no files and no rows.
 """
 
 from __future__ import annotations
@@ -67,7 +67,10 @@ def write(docs: DataFrame, out: str, scratch: Scratch, path: str | None = None,
             yield flush()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The hash and the random number split the rows of one id, equal ones too; no range bound holds a text.
+    order = ("doc_id", "_hash", "_random")
+    keyed = rows.withColumns({"_hash": F.xxhash64("text"), "_random": F.rand(5)})
+    dealt = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     return scratch.table("manifest", dealt.mapInArrow(files, _MANIFEST))
 
 

@@ -461,6 +461,44 @@ def test_resharding(spark):
     assert sum(t.size for t in moved if t.source != t.target) <= surplus + 4
 
 
+def _words(rng, n):
+    return "".join(rng.choice("abcdefghij") for _ in range(n))
+
+
+def _null_ids(rng):
+    return [(None if i % 5 < 2 else i, _words(rng, 60 + i % 30), 0 if i % 3 else i % 16) for i in range(6000)]
+
+
+def _one_hot_row(rng):
+    return [(7, "the same text in a third of all rows", 2) if i % 3 == 0 else (i, _words(rng, 20 + i % 40), i % 16) for i in range(6000)]
+
+
+@pytest.mark.parametrize("of", [_null_ids, _one_hot_row])
+def test_resharding_of_null_and_repeated_ids(spark, of):
+    rows = of(random.Random(4))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, old int").repartition(6)
+    scratch = Scratch(spark, "t")
+    out, transfers = resharding.reshard(docs, scratch.path("o"), scratch, id_column="doc_id", text_column="text", old_shard="old", shards=16)
+    got = out.collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter((i, t) for i, t, _ in rows)
+    sizes, slots, moved = Counter(), {}, 0
+    for r in got:
+        n = len(r["text"]) + 1
+        sizes[r["shard"]] += n
+        moved += n * r["moved"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    equal = sum(sizes.values()) / 16
+    assert len(sizes) == 16 and max(abs(n - equal) for n in sizes.values()) <= 0.02 * equal
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # Fewest bytes that any resharding to equal shards moves: what the old ones hold beyond their share; and a block a shard.
+    old = Counter()
+    for _, text, shard in rows:
+        old[shard] += len(text) + 1
+    least = sum(max(0, n - equal) for n in old.values())
+    assert sum(t.size for t in transfers if t.source != t.target) <= least + 16
+    assert moved <= least + 16 * equal / resharding.HEAVY
+
+
 EVEN = [(i, "x" * 9, i % 16) for i in range(320)]
 PARTLY = [(i, "x" * (400 if i % 4 == 0 else 99), i % 4) for i in range(1200) if i % 4 < 2 or i < 1000]
 
