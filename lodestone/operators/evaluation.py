@@ -61,11 +61,42 @@ def threshold_for(curve: DataFrame, target: float) -> DataFrame:
     return curve.agg(F.min(F.when(F.col("accuracy") >= target, F.col("threshold"))).alias("threshold"))
 
 
+def silhouettes(vectors: DataFrame, key: str, label: str = "label", vector: str = "embedding") -> DataFrame:
+    """key, label, silhouette (cosine): each row compared with all others, exactly, in one pass over the rows.
+
+    For a unit vector u and a label of n rows with sum S, the mean distance is 1 - u.S / n, and to the other
+    rows of its own label (n - u.S - (1 - u.u)) / (n - 1); so label sums, which are theme-sized, stand for
+    all pairs. A row alone under its label has 0; with less than two labels it is null. Noise, null labels and
+    null vectors are left out; a zero vector has distance 1 to every row but itself.
+    """
+    rows = vectors.filter(F.col(label).isNotNull() & (F.col(label) != TH.NOISE) & F.col(vector).isNotNull())
+    unit = rows.withColumn("_u", V.normalised(F.col(vector)))
+    sums = TH.collected(TH.centroids(unit, label, "_u"), "centroid", "n")
+    labels, n = np.array([r["label"] for r in sums]), np.array([r["n"] for r in sums], float)
+    sent = vectors.sparkSession.sparkContext.broadcast((labels, n, np.array([r["centroid"] for r in sums], float)))
+
+    @F.pandas_udf("double")
+    def score(own: pd.Series, x: pd.Series) -> pd.Series:
+        labels, n, mean = sent.value
+        if len(labels) < 2:
+            return pd.Series([None] * len(own), dtype="float64")
+        u, at, every = TH._unit(np.stack(x.to_numpy()).astype(float)), np.searchsorted(labels, own.to_numpy()), np.arange(len(own))
+        near = u @ mean.T
+        m = n[at]
+        a = (m - 1 - near[every, at] * m + (u * u).sum(1)) / np.maximum(m - 1, 1)
+        near[every, at] = -np.inf
+        b = 1 - near.max(1)
+        most = np.maximum(a, b)
+        return pd.Series(np.where((m > 1) & (most > 0), (b - a) / np.where(most > 0, most, 1), 0.0))
+
+    return unit.select(key, F.col(label).alias("label"), score(F.col(label), F.col(vector)).alias("silhouette"))
+
+
 def validity(vectors: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:
     """One row: Davies-Bouldin, Calinski-Harabasz and the mean centroid silhouette (cosine) of a clustering.
 
-    The silhouette compares a row's distance to its own centroid with that to the nearest other one; the
-    form that compares it with all rows is quadratic and left out. Labels are theme-sized and broadcast.
+    This silhouette compares a row's distance to its own centroid with that to the nearest other one;
+    `silhouettes` compares a row with all rows. Labels are theme-sized and broadcast.
     """
     rows = vectors.filter(F.col(label).isNotNull() & (F.col(label) != TH.NOISE) & F.col(vector).isNotNull())
     themes = TH.collected(TH.centroids(rows, label, vector), "centroid", "n")
@@ -89,9 +120,14 @@ def validity(vectors: DataFrame, label: str = "label", vector: str = "embedding"
     if k < 2:
         return vectors.sparkSession.createDataFrame([(None, None, None)], "davies_bouldin double, calinski_harabasz double, silhouette double")
     spread = np.array([per[x]["spread"] for x in labels.tolist()])
-    gap = np.linalg.norm(c[:, None] - c[None, :], axis=2)
-    np.fill_diagonal(gap, np.inf)
-    db = ((spread[:, None] + spread[None, :]) / gap).max(1).mean()
+    square, worst = (c * c).sum(1), np.empty(k)
+    for lo in range(0, k, TH.BLOCK):
+        # A block of labels against all, by products: no array of labels x labels x dimensions.
+        own = slice(lo, lo + TH.BLOCK)
+        gap = np.sqrt(np.maximum(square[own, None] - 2 * c[own] @ c.T + square, 0))
+        gap[np.arange(len(gap)), np.arange(lo, lo + len(gap))] = np.inf
+        worst[own] = ((spread[own, None] + spread) / gap).max(1)
+    db = worst.mean()
     mean = (c * n[:, None]).sum(0) / total
     between, within = (n * ((c - mean) ** 2).sum(1)).sum(), sum(r["within"] for r in per.values())
     row = (float(db), float(between / (k - 1) / (within / (total - k))), float(sum(r["s"] for r in per.values()) / total))

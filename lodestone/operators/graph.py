@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,18 @@ def kept(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark, rows: int) -> Iterator[None]:
+    """Within it, a batch that goes to Python holds so many rows at most: for rows that are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df over all cores: a table that is read in fewer parts than there are cores is dealt anew, so one of any size is not."""
     cores = df.sparkSession.sparkContext.defaultParallelism
