@@ -65,8 +65,9 @@ def enriched(parts: Column, original: Column) -> Column:
     return F.when(parts["topic"].isNull() & parts["type"].isNull(), original).otherwise(F.concat(first, second, tag("Назначение", "purpose")))
 
 
-#: What a reference to a contract and a period look like.
-_CONTRACT = r"""(?iuU)\s*,?\s*(?:по|согласно|в\s+рамках|к)?\s*(?:договор(?:у|а|ом|е)?|дс|доп(?:\.|олнени(?:ю|ем|е|я))?|соглашени(?:ю|е|я|ем|и)?)\s*(?:№|N)?\s*(?:[«"\w\-/\\.\[\]()]*\d[«"\w\-/\\.\[\]()]*\s*)+(?:от\s+[\d.]+\s*г?\.?)?\s*[,.]?\s*"""
+#: What a reference to a contract and a period look like. Numbers are taken without a way back,
+#: as nothing after them must match, so a long row of them needs no stack.
+_CONTRACT = r"""(?iuU)\s*,?\s*(?:по|согласно|в\s+рамках|к)?\s*(?:договор(?:у|а|ом|е)?|дс|доп(?:\.|олнени(?:ю|ем|е|я))?|соглашени(?:ю|е|я|ем|и)?)\s*(?:№|N)?\s*(?:[«"\w\-/\\.\[\]()&&[^\d]]*+\d[«"\w\-/\\.\[\]()]*+\s*+)++(?:от\s+[\d.]+\s*г?\.?)?\s*[,.]?\s*"""
 _MONTH = r"(?:январ[ьяею]?|феврал[ьяею]?|март[аеу]?|апрел[ьяею]?|ма[йяею]|июн[ьяею]?|июл[ьяею]?|август[аеу]?|сентябр[ьяею]?|октябр[ьяею]?|ноябр[ьяею]?|декабр[ьяею]?)"
 _PERIOD = (
     rf"(?iuU)\s*за\s+(?:период\s+)?(?:с\s+[\d.]+\s+по\s+[\d.]+\s*г?\.?|(?:\w+-\w+|{_MONTH})[\s,.]*\d{{0,4}}\s*г?\.?)"
@@ -78,11 +79,13 @@ def without_references(text: Column) -> Column:
     """The text without contract references and periods; where less than 5 characters are left, the text itself.
 
     Taking a reference out may make another, so it is done until none is left: each time takes a digit, so
-    there are no more turns than digits.
+    there are no more turns than digits, and once none was found the text isn't looked at again.
     """
     text = text.cast("string")
     turns = F.sequence(F.lit(0), F.length(F.regexp_replace(text, "[^0-9]", "")))
-    out = F.aggregate(turns, text, lambda t, _: F.when(t.rlike(_CONTRACT), F.regexp_replace(t, _CONTRACT, " ")).otherwise(t))
+    left = lambda t, more: F.struct(t.alias("t"), more.alias("more"))
+    turn = lambda s, _: F.when(~s["more"], s).when(s["t"].rlike(_CONTRACT), left(F.regexp_replace(s["t"], _CONTRACT, " "), F.lit(True))).otherwise(left(s["t"], F.lit(False)))
+    out = F.aggregate(turns, left(text, F.lit(True)), turn, lambda s: s["t"])
     for pattern, by in ((_PERIOD, " "), (r"\s*[,;]\s*[,;.]+", ", "), (r"\s+([,;.])", "$1"), (r"\s+", " ")):
         out = F.regexp_replace(out, pattern, by)
     out = F.trim(out, F.lit(" ,;."))

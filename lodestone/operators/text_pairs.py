@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ..functions import text as T
 
@@ -17,17 +19,52 @@ def char_error_rate(truth: Column, found: Column) -> Column:
     return F.when(F.length(a) > 0, F.levenshtein(a, b) / F.length(a)).otherwise(F.lit(0.0))
 
 
-def _spelt(words: Column, known: Column) -> Column:
-    """A character for each word: its number among the known words, past the ASCII range."""
-    one = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(known, w) + 255), 4, "0")), "UTF-16BE")
-    return F.array_join(F.transform(words, one), "")
+#: Words that stand this often in a truth keep their bits; the bits of others are made when they are met.
+_OFTEN = 64
+
+
+def edits(a: list[str], b: list[str]) -> int:
+    """Least number of words to put in, take out or exchange that makes b of a.
+
+    A column of the table of distances is two whole numbers, a bit a word of a: which differences to the cell above
+    are +1 and which -1. So memory grows with the lengths, and a word of b costs a few operations on all bits.
+    """
+    first, last = 0, 0
+    least = min(len(a), len(b))
+    while first < least and a[first] == b[first]:
+        first += 1
+    while last < least - first and a[-1 - last] == b[-1 - last]:
+        last += 1
+    a, b = a[first : len(a) - last], b[first : len(b) - last]
+    if not a or not b:
+        return len(a) + len(b)
+    places: dict[str, list[int]] = {}
+    for i, w in enumerate(a):
+        places.setdefault(w, []).append(i)
+    bits = lambda at: sum(1 << i for i in at)
+    kept = {w: bits(at) for w, at in places.items() if len(at) >= _OFTEN}
+    full, top, distance = (1 << len(a)) - 1, len(a) - 1, len(a)
+    rises, falls = full, 0
+    for w in b:
+        same = kept.get(w) if w in kept else bits(places.get(w, ()))
+        stays = same | falls
+        across = (((same & rises) + rises) ^ rises) | same
+        up, down = falls | (full & ~(across | rises)), rises & across
+        distance += (up >> top & 1) - (down >> top & 1)
+        up, down = (up << 1 | 1) & full, down << 1 & full
+        rises, falls = down | (full & ~(stays | up)), up & stays
+    return distance
+
+
+@F.pandas_udf(LongType())
+def _edits(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([None if x is None or y is None else edits(list(x), list(y)) for x, y in zip(a, b, strict=True)], dtype="Int64")
 
 
 def word_error_rate(truth: Column, found: Column) -> Column:
-    """Word edits per word of the truth: words become characters of the pair's own alphabet, then characters are compared."""
+    """Word edits per word of the truth."""
     a, b = T.recognised_words(truth), T.recognised_words(found)
-    known = F.array_distinct(F.concat(a, b))
-    return F.levenshtein(_spelt(a, known), _spelt(b, known)) / F.size(a)
+    return _edits(a, b) / F.size(a)
 
 
 def length_coverage(truth: Column, found: Column) -> Column:

@@ -2,10 +2,12 @@
 
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone.functions import answers
 from lodestone.operators import changes, dedup, graph, metrics, sampling, text_pairs, themes
 from lodestone.sources import readers, sinks
 from lodestone.streaming import incremental
@@ -106,6 +108,44 @@ def test_word_errors_against_plain_edit_distance(spark):
     assert got == [1 / 3, 1.0, 1.0, 1.0]
 
 
+def test_word_edits_against_the_plain_table():
+    rng = random.Random(4)
+
+    def table(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    for _ in range(400):
+        words = [str(i) for i in range(rng.choice([2, 5, 60]))]
+        a, b = ([rng.choice(words) for _ in range(rng.randrange(0, 90))] for _ in range(2))
+        assert text_pairs.edits(a, b) == table(a, b)
+    assert text_pairs.edits(["x"] * 300 + ["y"], ["y"] + ["x"] * 300) == 2
+
+
+def test_word_edits_of_very_long_pairs(spark):
+    # More different words than the 16-bit characters that once stood for them.
+    a = [f"w{i}" for i in range(60_000)]
+    b = [f"v{i}" if i % 1000 == 0 else w for i, w in enumerate(a) if i % 777]
+    began = time.time()
+    assert text_pairs.edits(a, b) == len(a) - len(b) + sum(i % 777 > 0 for i in range(0, len(a), 1000))
+    assert time.time() - began < 60
+    rows = spark.createDataFrame([(" ".join(a), " ".join(a[1:])), (None, "x"), ("x", None)], "truth string, found string")
+    got = [r["w"] for r in rows.select(text_pairs.word_error_rate(F.col("truth"), F.col("found")).alias("w")).collect()]
+    assert got[0] == 1 / 60_000
+
+
+def test_references_of_texts_with_many_digits(spark):
+    began = time.time()
+    texts = ["услуги по договору № 5 " + " ".join(str(i) for i in range(3000)), "сумма " + "1 2 3 " * 3000, None, ""]
+    got = [r["t"] for r in spark.createDataFrame([(t,) for t in texts], "text string").select(answers.without_references(F.col("text")).alias("t")).collect()]
+    assert got[0] == "услуги" and got[1].endswith("1 2 3") and len(got[1]) > 17_000 and got[2:] == [None, ""]
+    assert time.time() - began < 60
+
+
 def test_neighbours_against_all_pairs(spark):
     rng = random.Random(5)
     rows = [(i, [rng.gauss(0, 1) for _ in range(8)], i % 3) for i in range(60)]
