@@ -31,19 +31,21 @@ def leave_group_out(vectors: DataFrame, key: str, label: str, group: str, vector
     @F.pandas_udf("own double, best_other double")
     def score(own_label: pd.Series, units: pd.Series, own: pd.Series) -> pd.DataFrame:
         labels, n, total = sent.value
-        out = np.full((len(units), 2), -2.0)
-        for i, (x, lab, parts) in enumerate(zip(units, own_label, own, strict=True)):
-            rest, left, x = total.copy(), n.copy(), np.asarray(x, float)
-            for p in parts:
-                at = np.searchsorted(labels, p["_l"])
-                if at < len(labels) and labels[at] == p["_l"]:
-                    rest[at] -= np.asarray(p["_m"], float) * p["_n"]
-                    left[at] -= p["_n"]
-            length = np.linalg.norm(rest, axis=1)
-            sims = np.where(left > 0, rest @ x / np.where(length > 0, length, 1) / (np.linalg.norm(x) or 1), -2)
-            at = np.searchsorted(labels, lab)
-            out[i] = sims[at], np.delete(sims, at).max(initial=-2)
-        return pd.DataFrame(out, columns=["own", "best_other"])
+        x, every = TH._unit(np.stack(units.to_numpy()).astype(float)), np.arange(len(units))
+        # All labels by one product; then only those that a row's group has a part of.
+        length = np.linalg.norm(total, axis=1)
+        sims = np.where(n > 0, x @ total.T / np.where(length > 0, length, 1), -2.0)
+        parts = [(i, p["_l"], p["_n"], p["_m"]) for i, ps in enumerate(own) for p in ps]
+        row, lab, m, mean = (np.array(c) for c in zip(*parts, strict=True))
+        known = np.isin(lab, labels)
+        row, m, mean, lab = row[known], m[known], np.stack(mean[known]).astype(float) if known.any() else np.zeros((0, x.shape[1])), np.searchsorted(labels, lab[known])
+        rest = total[lab] - mean * m[:, None]
+        length = np.linalg.norm(rest, axis=1)
+        sims[row, lab] = np.where(n[lab] > m, (rest * x[row]).sum(1) / np.where(length > 0, length, 1), -2)
+        at = np.searchsorted(labels, own_label.to_numpy())
+        mine = sims[every, at]
+        sims[every, at] = -2
+        return pd.DataFrame({"own": mine, "best_other": sims.max(1)})
 
     joined = unit.filter(F.col(label) != TH.NOISE).join(of_group, F.col(group).eqNullSafe(F.col("_g")))
     out = joined.withColumn("_s", score(F.col(label), F.col(vector), F.col("_own")))

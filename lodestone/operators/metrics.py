@@ -18,11 +18,12 @@ from . import themes as TH
 QUERY_BLOCK = 1_000
 
 
-def leave_one_out(vectors: DataFrame, key: str, label: str = "label", vector: str = "embedding") -> DataFrame:
-    """key, label, own (cosine to the label's centroid without the row), best_other, correct (own > best_other).
+def leave_one_out(vectors: DataFrame, key: str, label: str = "label", vector: str = "embedding", singles: bool = False) -> DataFrame:
+    """key, label, own (cosine to the label's centroid without the row), best_other, correct (own > best_other), in_top_3.
 
-    Vectors are normalised first; rows alone under their label are left out. The label sums are a theme-sized
-    table sent to each task, so no row is paired with themes.
+    Vectors are normalised first; rows alone under their label are left out, or with `singles` have own 0, as their
+    centroid has no row. in_top_3: fewer than three other labels are at least as similar as the own one. The label
+    sums are a theme-sized table sent to each task, so no row is paired with themes.
     """
     unit = vectors.filter(F.col(label).isNotNull() & F.col(vector).isNotNull()).withColumn("_u", V.normalised(F.col(vector)))
     sums = TH.collected(TH.centroids(unit, label, "_u"), "centroid", "n")
@@ -30,19 +31,20 @@ def leave_one_out(vectors: DataFrame, key: str, label: str = "label", vector: st
     total = np.array([r["centroid"] for r in sums], float) * n[:, None] if sums else np.zeros((0, 1))
     sent = vectors.sparkSession.sparkContext.broadcast((labels, n, total))
 
-    @F.pandas_udf("own double, best_other double")
+    @F.pandas_udf("own double, best_other double, third_other double")
     def score(own_label: pd.Series, units: pd.Series) -> pd.DataFrame:
         labels, n, total = sent.value
         x, at = TH._unit(np.stack(units.to_numpy()).astype(float)), np.searchsorted(labels, own_label.to_numpy())
         rest = total[at] - x
         length = np.linalg.norm(rest, axis=1)
-        own = (rest * x).sum(1) / np.where(length > 0, length, 1)
+        own = np.where(n[at] > 1, (rest * x).sum(1) / np.where(length > 0, length, 1), 0.0 if singles else np.nan)
         all_sims = x @ TH._unit(total).T
         all_sims[np.arange(len(x)), at] = -2
-        return pd.DataFrame({"own": np.where(n[at] > 1, own, np.nan), "best_other": all_sims.max(1) if len(labels) > 1 else np.full(len(x), np.nan)})
+        third = -np.partition(-all_sims, 2, axis=1)[:, 2] if len(labels) > 3 else np.full(len(x), -2.0)
+        return pd.DataFrame({"own": own, "best_other": all_sims.max(1) if len(labels) > 1 else np.full(len(x), np.nan), "third_other": third})
 
-    out = unit.withColumn("_s", score(F.col(label), F.col(vector))).filter(F.col(label) != TH.NOISE)
-    out = out.select(key, F.col(label).alias("label"), F.col("_s.own").alias("own"), F.col("_s.best_other").alias("best_other"))
+    out = unit.filter(F.col(label) != TH.NOISE).withColumn("_s", score(F.col(label), F.col(vector)))
+    out = out.select(key, F.col(label).alias("label"), F.col("_s.own").alias("own"), F.col("_s.best_other").alias("best_other"), (F.col("_s.own") > F.col("_s.third_other")).alias("in_top_3"))
     return out.filter(~F.isnan("own")).withColumn("correct", F.col("own") > F.col("best_other"))
 
 

@@ -120,6 +120,20 @@ def cluster_validity(t):
     return out.select(*(r6(c).alias(c) for c in out.columns))
 
 
+_PAIRWISE = """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label <> -1),
+p AS (SELECT a.vec_id, a.label, b.label AS other, avg(1 - list_cosine_similarity(a.v, b.v)) AS d FROM e a JOIN e b ON a.vec_id <> b.vec_id GROUP BY ALL),
+s AS (SELECT vec_id, label, max(d) FILTER (WHERE label = other) AS a, min(d) FILTER (WHERE label <> other) AS b FROM p GROUP BY ALL)
+SELECT label, count(*) AS n, round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s GROUP BY label
+"""
+
+
+@query(_PAIRWISE)
+def silhouette(t):
+    out = E.silhouettes(t.embeddings, "vec_id")
+    return out.groupBy("label").agg(F.count("*").alias("n"), r6(F.avg("silhouette")).alias("silhouette"))
+
+
 @query("WITH r AS (SELECT l_linestatus AS run, l_linenumber AS seed, l_returnflag AS class, avg(CAST(l_discount > 0.04 AS INTEGER)) AS r FROM lineitem GROUP BY ALL), f AS (SELECT class, avg(r) AS r FROM r WHERE run = 'F' GROUP BY class), o AS (SELECT class, avg(r) AS r FROM r WHERE run = 'O' GROUP BY class) SELECT coalesce(f.class, o.class) AS class, round(f.r, 6) AS recall_F, round(o.r, 6) AS recall_O, round(o.r - f.r, 6) AS delta FROM f FULL JOIN o ON f.class = o.class")
 def recall_delta(t):
     rows = t.lineitem.withColumn("hit", F.col("l_discount") > 0.04)

@@ -23,7 +23,30 @@ loo AS (SELECT vec_id, label, own, best_other, own > best_other AS correct FROM
 
 @query(f"WITH {_LOO} SELECT vec_id, label, round(own, 6) AS own, round(best_other, 6) AS best_other, correct FROM loo")
 def loo_centroid(t):
-    return M.leave_one_out(t.embeddings, "vec_id").withColumns({"own": r6("own"), "best_other": r6("best_other")})
+    return M.leave_one_out(t.embeddings, "vec_id").drop("in_top_3").withColumns({"own": r6("own"), "best_other": r6("best_other")})
+
+
+_THIRD = "thr AS (SELECT vec_id, list(list_cosine_similarity(u, c) ORDER BY list_cosine_similarity(u, c) DESC)[3] AS third FROM unit JOIN tot ON unit.label <> tot.label GROUP BY vec_id)"
+
+
+@query(f"WITH {_LOO}, {_THIRD} SELECT label, count(*) AS n, round(avg(CAST(correct AS INTEGER)), 6) AS top_1, round(avg(CAST(coalesce(own > third, true) AS INTEGER)), 6) AS top_3 FROM loo LEFT JOIN thr USING (vec_id) GROUP BY label")
+def loo_top_3(t):
+    out = M.leave_one_out(t.embeddings, "vec_id")
+    share = lambda c: r6(F.avg(F.col(c).cast("int")))
+    return out.groupBy("label").agg(F.count("*").alias("n"), share("correct").alias("top_1"), share("in_top_3").alias("top_3"))
+
+
+_SINGLES = _LOO.replace("FROM embeddings)", "FROM (SELECT vec_id, embedding, CASE WHEN vec_id % 53 = 7 THEN 1000 + vec_id ELSE label END AS label FROM embeddings))").replace(
+    "list_cosine_similarity(u, list_transform(range(1, 65), lambda i: c[i] - u[i])) AS own FROM unit JOIN tot USING (label) WHERE n > 1",
+    "CASE WHEN n > 1 THEN list_cosine_similarity(u, list_transform(range(1, 65), lambda i: c[i] - u[i])) ELSE 0 END AS own FROM unit JOIN tot USING (label)",
+)
+
+
+@query(f"WITH {_SINGLES} SELECT vec_id, label, round(own, 6) AS own, round(best_other, 6) AS best_other, correct FROM loo")
+def loo_with_singles(t):
+    label = F.when(F.col("vec_id") % 53 == 7, F.col("vec_id") + 1000).otherwise(F.col("label")).cast("int")
+    out = M.leave_one_out(t.embeddings.withColumn("label", label), "vec_id", singles=True)
+    return out.drop("in_top_3").withColumns({"label": F.col("label").cast("long"), "own": r6("own"), "best_other": r6("best_other")})
 
 
 @query(f"WITH {_LOO} SELECT count(*) AS n, round(avg(CAST(correct AS INTEGER)), 6) AS top_1, round(avg(own), 6) AS mean_own, round(avg(own - best_other), 6) AS mean_margin FROM loo")

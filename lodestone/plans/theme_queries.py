@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import vectors as V
+from ..operators import density, linkage
 from ..operators import themes as TH
 from .catalog import query
 
@@ -117,6 +118,28 @@ def second_level_themes(t):
     return TH.second_level(t.embeddings).groupBy("label", "sub_label").agg(F.count("*").alias("n"))
 
 
+#: Share of the rows that a density cluster has at least.
+LEAST_SHARE = 0.01
+
+
+@query()
+def density_clusters(t):
+    least = max(2, int(LEAST_SHARE * t.embeddings.count()))
+    return density.clusters(t.embeddings, "vec_id", least)
+
+
+@query()
+def density_clusters_with_epsilon(t):
+    # Clusters that part at a cosine of 0.8 or more stay together; core distances by five neighbours.
+    least = max(2, int(LEAST_SHARE * t.embeddings.count()))
+    return density.clusters(t.embeddings, "vec_id", least, neighbours=5, epsilon=(2 * (1 - 0.8)) ** 0.5)
+
+
+@query()
+def average_link_clusters(t):
+    return linkage.clusters(t.embeddings, "vec_id", 0.5)
+
+
 @query(r"""
 WITH w AS (SELECT source AS g, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}_][\p{L}\p{N}_]+') AS w FROM documents),
 terms AS (SELECT g, unnest(w) AS term FROM w UNION ALL SELECT g, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w WHERE len(w) > 1),
