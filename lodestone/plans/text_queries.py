@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import validate as C
-from ..operators import dedup, sampling
+from ..operators import dedup, sampling, similarity
 from .catalog import query
 
 #: White space as Unicode has it, in the SQL twins' dialect.
@@ -72,6 +72,17 @@ def near_duplicates(t):
     return dedup.near(t.documents, "doc_id")
 
 
+@query()
+def near_duplicate_sweep(t):
+    return similarity.sweep(t.documents, "doc_id")
+
+
+@query()
+def near_duplicate_spans(t):
+    groups = similarity.sweep(t.documents, "doc_id").join(t.documents.select("doc_id", "source"), "doc_id")
+    return similarity.spans(groups, "source")
+
+
 @query()
 def grouped_split(t):
     rows = t.documents.select("doc_id", "source").join(dedup.near(t.documents, "doc_id"), "doc_id")
