@@ -11,12 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from . import graph
+from . import nearest
 from . import themes as TH
 
-#: Queries of a neighbour search that go to the tasks at a time, about.
-QUERY_BLOCK = 1_000
-
 
 def leave_one_out(vectors: DataFrame, key: str, label: str = "label", vector: str = "embedding", singles: bool = False) -> DataFrame:
     """key, label, own (cosine to the label's centroid without the row), best_other, correct (own > best_other), in_top_3.
@@ -48,84 +45,21 @@ def leave_one_out(vectors: DataFrame, key: str, label: str = "label", vector: st
     return out.filter(~F.isnan("own")).withColumn("correct", F.col("own") > F.col("best_other"))
 
 
-def nearest_neighbours(vectors: DataFrame, key: str, k: int = 10, label: str = "label", vector: str = "embedding", block: int = QUERY_BLOCK) -> DataFrame:
-    """query, neighbour, similarity, rank: the k rows most similar to each row, itself left out.
+def nearest_neighbours(vectors: DataFrame, key: str, k: int = 10, label: str = "label", vector: str = "embedding") -> DataFrame:
+    """query, query_label, neighbour, label, similarity, rank: the k rows most similar to each row, itself left out.
 
-    Every row is a query. They go to the tasks in blocks, by a hash of their key, and what a block finds is
-    written, so the driver holds one block; each task keeps k rows for a query, and these are merged by query.
-    Of equal ones the smaller key comes first.
+    Every row is a query, and all are answered exactly in one job over a vector index. Of equal ones the smaller
+    key comes first.
     """
-    spark = vectors.sparkSession
-    known = vectors.filter(F.col(vector).isNotNull()).select(F.col(key).alias("key"), F.col(label).alias("label"), V.normalised(F.col(vector)).alias("u"))
-    blocks, folder, out = -(-known.count() // block), graph.shared_folder(spark), None
-    for b in range(blocks):
-        part = known.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b).toPandas()
-        if not len(part):
-            continue
-        sent = spark.sparkContext.broadcast((part["key"].to_numpy(), part["label"].to_numpy(), np.stack(part["u"].to_numpy())))
-
-        def best(batches, sent=sent):
-            ids, labels, q = sent.value
-            held = None
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                sims = np.stack(pdf["u"].to_numpy()) @ q.T
-                sims[pdf["key"].to_numpy()[:, None] == ids[None, :]] = -2
-                m = min(k, len(pdf))
-                order = np.argsort(-sims, axis=0, kind="stable")[:m].T
-                rows = pd.DataFrame(
-                    {
-                        "query": np.repeat(ids, m), "query_label": np.repeat(labels, m), "neighbour": pdf["key"].to_numpy()[order].ravel(),
-                        "label": pdf["label"].to_numpy()[order].ravel(), "similarity": np.take_along_axis(sims.T, order, 1).ravel(),
-                    }
-                )
-                held = pd.concat([held, rows]).sort_values(["query", "similarity", "neighbour"], ascending=[True, False, True]).groupby("query").head(k)
-            if held is not None:
-                yield held[held["similarity"] > -2]
-
-        found = graph.kept(known.mapInPandas(best, "query long, query_label int, neighbour long, label int, similarity double"), f"{folder}/block{b}")
-        sent.unpersist()
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return spark.createDataFrame([], "query long, query_label int, neighbour long, label int, similarity double, rank int")
-    order = Window.partitionBy("query").orderBy(F.desc("similarity"), "neighbour")
-    return out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-
-
-def identity_ranks(pairs: DataFrame, key: str, truth: str, found: str, block: int = QUERY_BLOCK) -> DataFrame:
+    return nearest.neighbours(nearest.build(vectors, key, vector, label), k)
+
+
+def identity_ranks(pairs: DataFrame, key: str, truth: str, found: str) -> DataFrame:
     """key, own (cosine of the row's two vectors), rank: 1 + how many rows have a truth more similar to its found vector.
 
-    Every row with both vectors is a query. Queries go to the tasks in blocks by a hash of their key; each task
-    adds up counts for a block, so no pairs are made and the driver holds one block.
+    Every row with both vectors is a query, in one job; tasks add up counts, so no pairs are made.
     """
-    spark = pairs.sparkSession
-    known = pairs.filter(F.col(truth).isNotNull() & F.col(found).isNotNull())
-    known = known.select(F.col(key).alias("key"), V.normalised(F.col(truth)).alias("t"), V.normalised(F.col(found)).alias("f"))
-    blocks, folder, out = -(-known.count() // block), graph.shared_folder(spark), None
-    for b in range(blocks):
-        part = known.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b).toPandas()
-        if not len(part):
-            continue
-        f = np.stack(part["f"].to_numpy())
-        own = (np.stack(part["t"].to_numpy()) * f).sum(1)
-        sent = spark.sparkContext.broadcast((part["key"].to_numpy(), f, own))
-
-        def count(batches, sent=sent):
-            ids, f, own = sent.value
-            above = np.zeros(len(ids), np.int64)
-            for pdf in batches:
-                if len(pdf):
-                    sims = np.stack(pdf["t"].to_numpy()) @ f.T
-                    # A row isn't above itself, whatever the order of its sums.
-                    above += ((sims > own) & (pdf["key"].to_numpy()[:, None] != ids[None, :])).sum(0)
-            yield pd.DataFrame({"key": ids, "own": own, "above": above})
-
-        found_here = graph.kept(known.select("key", "t").mapInPandas(count, "key long, own double, above long").groupBy("key").agg(F.first("own").alias("own"), F.sum("above").alias("above")), f"{folder}/block{b}")
-        sent.unpersist()
-        out = found_here if out is None else out.unionByName(found_here)
-    if out is None:
-        return spark.createDataFrame([], f"{key} long, own double, rank long")
+    out = nearest.ranks(nearest.build(pairs, key, truth, ask=found))
     return out.select(F.col("key").alias(key), "own", (F.col("above") + 1).alias("rank"))
 
 

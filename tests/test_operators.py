@@ -159,7 +159,7 @@ def test_neighbours_against_all_pairs(spark):
 def test_every_row_is_a_query_and_too_many_themes_are_an_error(spark, monkeypatch):
     # More rows than the 15,000 that were queries at most.
     rows = spark.range(15_200).selectExpr("id as vec_id", "array(cos(id * 0.0004), sin(id * 0.0004)) as embedding", "cast(id % 3 as int) as label")
-    got = metrics.nearest_neighbours(rows, "vec_id", 1, block=8_000).groupBy("query").count()
+    got = metrics.nearest_neighbours(rows, "vec_id", 1).groupBy("query").count()
     assert got.count() == 15_200 and got.filter("count <> 1").isEmpty()
     monkeypatch.setattr(themes, "MAX_THEMES", 2)
     small = rows.limit(30)
