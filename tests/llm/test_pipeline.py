@@ -1,6 +1,9 @@
 """The corpus pipeline on planted documents: what each stage rejects goes, clean documents stay whole."""
 
 import random
+from collections import Counter
+
+import pytest
 
 import corpus_pipeline
 
@@ -21,3 +24,56 @@ def test_planted_documents(spark, tmp_path):
     assert sorted({r["doc_id"] for r in out}) == [0, 1, 2, 3, 4, 10]
     whole = {r["doc_id"]: r["length"] for r in out}
     assert whole[10] < whole[2] * 1.2
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n long, kept string, node long, start int, item_id long"
+
+
+def awkward(rng):
+    """Documents that the rules keep, with null and repeated ids, repeated rows, equal texts, empty ones and one very long."""
+    word = lambda: "".join(rng.choice("bcdfghklm") + rng.choice("aeiou") for _ in range(3))
+    text = lambda n: " ".join("the" if i % 6 == 0 else word() for i in range(n))
+    texts = [text(60) for _ in range(6)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [(None, text(40)), (None, text(40)), (9, None), (10, ""), (11, " \n "), (12, texts[0]), rows[1], rows[1], (13, texts[2] + "\n" + text(50)), (14, text(30_000))]
+    return [(i, t, None, "s", len(t or ""), 7, "x", 3, 1, 2) for i, t in rows]
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_each_stage_of_awkward_documents_and_of_none(spark, tmp_path, stage):
+    rng = random.Random(5)
+    rows = awkward(rng)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    item = " ".join(rows[3][1].split()[5:45])
+    spark.createDataFrame([(0, item), (1, item), (None, None), (3, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    f = dict(corpus_pipeline.STAGES)[stage]
+    out = f(spark, docs, str(tmp_path))
+    got = out.collect()
+    ids = Counter(r["doc_id"] for r in got)
+    if stage == "packing":
+        cut = {}
+        for r in got:
+            cut.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        assert all(sum(n for _, n in s) <= 4096 and [a for a, _ in sorted(s)] == [sum(n for _, n in sorted(s)[:i]) for i in range(len(s))] for s in cut.values())
+        assert ids.keys() == {r[0] for r in rows} and ids[1] == 3 and ids[14] > 7
+    else:
+        assert out.columns == docs.columns
+        if stage == "quality_rules":
+            # Rows without ten words go; the rest stays, null ids and repeated rows too.
+            assert ids == Counter(r[0] for r in rows if r[0] not in (9, 10, 11))
+        if stage == "line_dedup":
+            # Of equal documents the later copies lose their lines and go; of 13 the shared line goes.
+            assert ids.keys() >= {None, 0, 2, 3, 4, 5, 13, 14} and ids[None] == 2
+            assert all(r["text"].count(rows[2][1]) == (r["doc_id"] == 2) for r in got if r["text"])
+        if stage == "ngram_join":
+            assert ids == Counter(r[0] for r in rows if r[0] != 12)
+        if stage == "decontamination":
+            assert ids == Counter(r[0] for r in rows if r[0] != 3)
+    none = f(spark, docs.limit(0), str(tmp_path))
+    assert none.columns == out.columns and none.collect() == []
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
