@@ -48,11 +48,11 @@ def line_ids(docs: DataFrame) -> DataFrame:
     """d, th, p (place among lines with a word), line (place among all), c1, c2 (id), before, after (words up to the line and past it)."""
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("x")))
     worded = F.filter(lines, lambda s: has_word(s["x"]))
-    rows = _key(docs).select(*_DOC, F.posexplode(worded).alias("p", "s"))
+    # Equal documents become one where they are read, before any moves; this is the only shuffle, for the sums too.
+    single = _key(docs).groupBy(*_DOC).agg(F.first("text").alias("text"))
+    rows = single.select(*_DOC, F.posexplode(worded).alias("p", "s"))
     c1, c2 = _pair(F.col("s.x"))
     rows = rows.select(*_AT, F.col("s.line").alias("line"), c1.alias("c1"), c2.alias("c2"), F.size(words(F.col("s.x"))).alias("n"))
-    # One shuffle, by document, for both steps.
-    rows = rows.repartition(*_DOC).dropDuplicates(_AT)
     after = F.sum("n").over(Window.partitionBy(*_DOC).orderBy("p").rowsBetween(Window.unboundedPreceding, 0))
     return rows.withColumn("after", after).withColumn("before", F.col("after") - F.col("n")).drop("n")
 
@@ -132,7 +132,10 @@ def deleted_lines(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS)
     reach = F.when(F.col("up_to") - F.col("before") >= min_words, F.col("end"))
     covered = F.max(reach).over(Window.partitionBy(*_DOC).orderBy("p").rowsBetween(Window.unboundedPreceding, 0)) > F.col("p")
     gone = sized.withColumn("covered", covered).filter("covered").groupBy(*_DOC).agg(F.collect_list("line").alias("gone"))
-    return scratch.table("deleted", gone)
+    out = scratch.table("deleted", gone)
+    steps = [f"{name}{k}" for k in range(len(levels) + 1) for name in ("level", "rows", "split", "state", "gone")]
+    scratch.drop("lines", *steps)
+    return out
 
 
 def dedup(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS) -> DataFrame:

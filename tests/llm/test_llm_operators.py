@@ -1,6 +1,7 @@
 """The training-data operators against brute force or exact round trips, on small awkward tables."""
 
 import hashlib
+import os
 import random
 import re
 import time
@@ -545,3 +546,18 @@ def test_empty_tables(spark):
     assert line_dedup.dedup(docs, scratch).collect() == []
     assert packing.pack(packing.pieces(docs), scratch).collect() == []
     assert token_shards.read(token_shards.write(docs, scratch.path("e"), scratch), scratch.path("e")).collect() == []
+
+
+def test_line_dedup_of_one_document_in_a_third_of_the_rows(spark):
+    """Rows equal in doc_id and text meet in a partial aggregate before the shuffle, and the steps' tables go."""
+    common = "one two three\nfour five six\nseven"
+    rows = [(1, common)] * 300 + [(None, common)] * 3 + [(i, f"own {i} words are here now\n{common}") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    plan = line_dedup.line_ids(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("partial_first") > plan.index("Exchange hashpartitioning")
+    scratch = Scratch(spark, "t")
+    got = Counter((r["doc_id"], r["n_lines"], r["n_deleted"]) for r in line_dedup.dedup(docs, scratch).collect())
+    assert got[None, 3, 0] == 3 and got[1, 3, 3] == 300
+    assert all(got[i, 4, 3] == 1 for i in range(2, 40)) and sum(got.values()) == len(rows)
+    assert sorted(os.listdir(scratch.root.removeprefix("file://"))) == ["deleted"]
