@@ -14,6 +14,8 @@ from ..functions import vectors as V
 from . import nearest
 from . import themes as TH
 
+MAX_GROUPS = 2_000
+
 
 def leave_one_out(vectors: DataFrame, key: str, label: str = "label", vector: str = "embedding", singles: bool = False) -> DataFrame:
     """key, label, own (cosine to the label's centroid without the row), best_other, correct (own > best_other), in_top_3.
@@ -174,8 +176,11 @@ def shares(rows: DataFrame, group: str, theme: str) -> DataFrame:
 def divergence(shared: DataFrame) -> DataFrame:
     """a, b, js (nats), cosine of each two groups' shares; themes that a group lacks count as 0.
 
-    Groups are few; the join is on the theme, and what only one of two has adds share * ln 2 / 2 to js.
+    The result is a row for each pair, so more than MAX_GROUPS groups are an error. The join is on the theme, and what only one of
+    two has adds share * ln 2 / 2 to js.
     """
+    if shared.select("group").distinct().limit(MAX_GROUPS + 1).count() > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups")
     x, y = (shared.select(F.col("group").alias(g), "theme", F.col("share").alias(s)) for g, s in (("a", "p"), ("b", "q")))
     both = x.join(y, "theme").filter("a < b")
     m = (F.col("p") + F.col("q")) / 2

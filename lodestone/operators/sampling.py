@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import graph
+
 TEST_SHARE, GROUP_CAP = 0.22, 40
 
 
@@ -52,9 +54,20 @@ def halves(rows: DataFrame, key: str, seed: int = 42) -> DataFrame:
 
 
 def within_budget(rows: DataFrame, group: str, size: str, budget: int, *order) -> DataFrame:
-    """Rows of each group, in order, while the sizes before them are less than the budget."""
-    before = F.sum(size).over(Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn("_s", F.coalesce(before, F.lit(0))).filter(F.col("_s") < budget).drop("_s")
+    """Rows of each group, in order, while the sizes before them are less than the budget.
+
+    Ranges of group and order go to different tasks, so that one group may fill many. What stands before a range of its group is the sum
+    of the group's ranges before, one number for each, and only the rest is summed row by row. The ranges are
+    written first, so that both see the same. Null sizes count as none.
+    """
+    dealt = graph.kept(rows.repartitionByRange(F.col(group), *order).withColumn("_range", F.spark_partition_id()), graph.shared_folder(rows.sparkSession))
+    earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy(F.col(group).alias("_group"), F.col("_range").alias("_part")).agg(F.sum(size).alias("_sum"))
+    sums = sums.withColumn("_start", F.coalesce(F.sum("_sum").over(earlier), F.lit(0))).drop("_sum")
+    here = Window.partitionBy(group, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = dealt.withColumn("_s", F.coalesce(F.sum(size).over(here), F.lit(0)))
+    at = (F.col("_range") == F.col("_part")) & F.col(group).eqNullSafe(F.col("_group"))
+    return summed.join(sums, at).filter(F.col("_start") + F.col("_s") < budget).select(*rows.columns)
 
 
 def top_or_rest(counts: DataFrame, name: str, n: int, rest: str = "rest") -> DataFrame:

@@ -41,6 +41,9 @@ def mean_of(vector: str) -> Column:
     """Mean of a group's vectors."""
     return vector_to_array(Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>"))))
 
+#: Below any similarity: no other theme is left, or the theme itself is gone.
+_ALONE, _GONE = -2.0, -3.0
+
 
 def collected(themes: DataFrame, *columns: str) -> list:
     """The rows of a theme table, on the driver, in order of their labels."""
@@ -142,35 +145,48 @@ def merge_themes(themes: DataFrame, threshold: float = MERGE) -> dict[int, int]:
     a merged theme has the smaller label.
     """
     rows = collected(themes, "centroid", "n")
+    if not rows:
+        return {}
     labels = [r["label"] for r in rows]
-    sums = [np.array(r["centroid"], float) * r["n"] for r in rows]
-    owner = {i: i for i in labels}
-    live = list(range(len(rows)))
-    sims = _unit(np.array(sums)) if rows else np.zeros((0, 1))
-    sims = sims @ sims.T
-    np.fill_diagonal(sims, -2)
-    while len(live) > 1:
-        part = sims[np.ix_(live, live)]
-        i, j = sorted(np.unravel_index(part.argmax(), part.shape))
-        if part[i, j] < threshold:
-            break
-        a, b = live[i], live[j]
-        sums[a] = sums[a] + sums[b]
-        owner = {k: labels[a] if v == labels[b] else v for k, v in owner.items()}
-        live.remove(b)
-        unit = sums[a] / (np.linalg.norm(sums[a]) or 1)
-        for k in live:
-            sims[a, k] = sims[k, a] = -2 if k == a else unit @ sums[k] / (np.linalg.norm(sums[k]) or 1)
-    number = {old: new for new, old in enumerate(sorted(set(owner.values())))}
-    return {k: number[v] for k, v in owner.items()}
+    sums = np.array([np.array(r["centroid"], float) * r["n"] for r in rows])
+    unit = _unit(sums)
+    sims = unit @ unit.T
+    np.fill_diagonal(sims, _GONE)
+    # The nearest of each theme, the first of several; a merge changes it only where it was one of the two.
+    near = sims.argmax(axis=1)
+    top = sims[np.arange(len(rows)), near]
+    owner = list(range(len(rows)))
+    while top[i := int(top.argmax())] >= threshold:
+        a, b = sorted((i, int(near[i])))
+        owner[b] = a
+        sums[a] += sums[b]
+        unit[a] = sums[a] / (np.linalg.norm(sums[a]) or 1)
+        new = np.where(top > _GONE, unit @ unit[a], _GONE)
+        new[[a, b]] = _GONE
+        sims[a], sims[:, a] = new, new
+        sims[b], sims[:, b], top[b] = _GONE, _GONE, _GONE
+        stale = (near == a) | (near == b)
+        stale[a], stale[b] = True, False
+        stale &= top > _GONE
+        closer = ~stale & ((new > top) | ((new == top) & (a < near))) & (top > _GONE)
+        near[closer], top[closer] = a, new[closer]
+        for k in np.flatnonzero(stale):
+            near[k] = sims[k].argmax()
+            # A theme left alone has none near; it stays above those that are gone, and below any threshold.
+            top[k] = max(sims[k, near[k]], _ALONE)
+    for k in range(len(owner)):
+        owner[k] = owner[owner[k]]
+    number = {old: new for new, old in enumerate(sorted({labels[k] for k in owner}))}
+    return {label: number[labels[k]] for label, k in zip(labels, owner, strict=True)}
 
 
 def relabelled(rows: DataFrame, mapping: dict[int, int], label: str = "label") -> DataFrame:
     """label by the mapping; noise and labels that it lacks stay."""
     if not mapping:
         return rows
-    table = F.create_map(*(F.lit(x) for pair in mapping.items() for x in pair))
-    return rows.withColumn(label, F.coalesce(table[F.col(label)], F.col(label)))
+    table = rows.sparkSession.createDataFrame([(int(old), int(new)) for old, new in mapping.items()], "_old long, _new long")
+    known = rows.join(F.broadcast(table), F.col(label) == F.col("_old"), "left")
+    return known.withColumn(label, F.coalesce(F.col("_new").cast(rows.schema[label].dataType), F.col(label))).drop("_old", "_new")
 
 
 def greedy_topics(themes: DataFrame, threshold: float = TOPIC_MERGE) -> dict[int, int]:

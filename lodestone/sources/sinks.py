@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+REPORT_ROWS = 1_000_000
 RUN_STATES = ("running", "success", "failed", "rolled_back")
 _NAME = re.compile(r"[A-Za-z_]\w*\Z")
 
@@ -16,8 +17,10 @@ def table(rows: DataFrame, path: str, by: list[str] | None = None, mode: str = "
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def report(rows: DataFrame, path: str, kind: str = "csv") -> None:
-    """A small result as one file."""
+def report(rows: DataFrame, path: str, kind: str = "csv", most: int = REPORT_ROWS) -> None:
+    """A small result as one file; an error where it has more than `most` rows."""
+    if rows.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows for one file")
     writer = rows.coalesce(1).write.mode("overwrite")
     writer.option("header", True).csv(path) if kind == "csv" else writer.json(path)
 
