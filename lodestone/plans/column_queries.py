@@ -35,12 +35,6 @@ def file_extension(t):
     return t.pages.select("page_id", files.extension(F.col("url")).alias("extension"))
 
 
-@query("SELECT page_id, page_id % 2 = 1 AS marked FROM pages")
-def marked_names(t):
-    name = F.concat(F.lit("a_b_c_d_e_f_g_"), (F.col("page_id") % 2).cast("string"), F.lit("_z"))
-    return t.pages.select("page_id", files.is_marked(name).alias("marked"))
-
-
 @query(f"SELECT c_custkey, coalesce(regexp_matches(c_name, '(?i){OWN}'), false) AS own FROM customer")
 def own_company(t):
     return t.customer.select("c_custkey", C.is_own(F.col("c_name"), OWN).alias("own"))

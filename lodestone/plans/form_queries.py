@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import files, text as T, vectors as V
+from ..functions import text as T, vectors as V
 from ..operators import invoices, metrics as M, text_pairs as P
 from .catalog import query
 
 PLACES = invoices.Places({str(k): f"Region {k}" for k in range(20)})
-NAMES = {f"T{k}": f"theme {k}" for k in range(5)}
 
 
 def r6(c):
@@ -41,27 +40,6 @@ def invoice_text(t):
     return out.select("o_orderkey", "full_text", "subject_text", "fields.n_rows", "fields.seller_region")
 
 
-@query(r"SELECT doc_id, '  ' || coalesce(source, '') || '      ;  ]   дом' AS terms FROM documents")
-def terms_without_noise(t):
-    text = F.concat(F.lit("вид:услуга "), F.coalesce("source", F.lit("")), F.lit(" по и на; ед:шт] за дом"))
-    return t.documents.select("doc_id", T.term_noise_free(text).alias("terms"))
-
-
-@query("""
-WITH l AS (SELECT vec_id, label, CASE vec_id % 4 WHEN 0 THEN 'noise' WHEN 1 THEN 'T' || label WHEN 2 THEN 'D' || label ELSE 'L' || label END AS name FROM embeddings)
-SELECT vec_id, CASE vec_id % 4 WHEN 0 THEN 'other' WHEN 1 THEN CASE WHEN label < 5 THEN 'theme ' || label ELSE name END WHEN 2 THEN name || ' a b c' ELSE name END AS shown FROM l""")
-def theme_names(t):
-    key, label = F.col("vec_id") % 4, F.col("label").cast("string")
-    name = F.when(key == 0, "noise").when(key == 1, F.concat(F.lit("T"), label)).when(key == 2, F.concat(F.lit("D"), label)).otherwise(F.concat(F.lit("L"), label))
-    return t.embeddings.select("vec_id", T.theme_name(name, NAMES, F.lit("a, b, c, d"), "other").alias("shown"))
-
-
-@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'fast' WHEN c_custkey % 3 = 1 THEN lower(c_mktsegment) ELSE 'default' END AS variant FROM customer")
-def variant_in_use(t):
-    key = F.col("c_custkey") % 3
-    return t.customer.select("c_custkey", T.variant(F.when(key == 0, "fast"), F.when(key == 1, F.lower("c_mktsegment")).otherwise("")).alias("variant"))
-
-
 @query("""
 WITH p AS (SELECT vec_id, embedding::DOUBLE[] AS t, list_transform(embedding::DOUBLE[], lambda x, i: x + 0.4 * ((i * 7 + vec_id) % 5 - 2)) AS f FROM embeddings),
 o AS (SELECT vec_id, f, list_cosine_similarity(t, f) AS own FROM p),
@@ -107,13 +85,3 @@ def lowest_scores(t):
 def word_substitutions(t):
     words = lambda c: T.recognised_words(c)
     return P.word_substitutions(t.documents, "doc_id", words(F.col("text")), words(F.translate("text", "qzx", "gsk")))
-
-
-@query("""
-SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'excel' WHEN 1 THEN 'word' WHEN 2 THEN 'image' END AS kind FROM pages""")
-def container_kinds(t):
-    magic, key = F.unhex(F.lit("D0CF11E0A1B1")), F.col("page_id") % 4
-    streams = lambda name: F.concat(magic, F.encode(F.lpad(F.lit(name), 400, " "), "UTF-16LE"))
-    riff = F.concat(F.encode(F.lit("RIFF0000"), "UTF-8"), F.encode(F.when(key == 2, "WEBP").otherwise("AVI "), "UTF-8"))
-    content = F.when(key == 0, streams("Book")).when(key == 1, streams("1Table")).otherwise(riff)
-    return t.pages.select("page_id", files.kind(content).alias("kind"))

@@ -136,20 +136,6 @@ def temporary_table(t):
     return out
 
 
-@query("SELECT conv_id, turn, text, role AS topic, 'chat more' AS type, 's' AS purpose, '[Тема: ' || role || '] [Тип: chat more] [Назначение: s]' AS enriched FROM conversations")
-def answer_parser(t):
-    answer = F.concat(F.lit("<think>TOPIC: no\n</think>\n1. **TOPIC:** "), F.col("role"), F.lit(".\n- `TYPE` : вид документа: chat\n\n  more,\nSUMMARY - s"))
-    parts = A.answer_parts(answer)
-    return t.conversations.select("conv_id", "turn", "text", parts["topic"].alias("topic"), parts["type"].alias("type"), parts["purpose"].alias("purpose"), A.enriched(parts, F.col("text")).alias("enriched"))
-
-
-@query("SELECT o_orderkey, 'Оплата услуг, ' || o_orderpriority AS subject FROM orders")
-def without_references(t):
-    key = F.col("o_orderkey").cast("string")
-    text = F.concat(F.lit("Оплата услуг по договору № "), key, F.lit("/1 от 01.02.2024 г. согласно ДС № "), key, F.lit(", за март 2024 г., "), F.col("o_orderpriority"))
-    return t.orders.select("o_orderkey", A.without_references(text).alias("subject"))
-
-
 @query(r"SELECT doc_id, array_to_string(list_slice(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> ''), 1, 6), ' ') AS title FROM documents")
 def theme_catalogue(t):
     return t.documents.select("doc_id", A.first_words(F.col("text"), 6).alias("title"))
@@ -174,13 +160,6 @@ def region_alias(t):
     return rows.select("c_custkey", A.aliased(F.col("r_name"), [code("c_custkey"), code("c_nationkey")], _REGIONS, _CODES).alias("region"))
 
 
-@query("SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'odt' WHEN 1 THEN 'ods' WHEN 2 THEN 'opendocument' END AS kind FROM pages")
-def open_document_kind(t):
-    k = F.col("page_id") % 4
-    xml = F.when(k == 0, "<o m='application/vnd.oasis.opendocument.text'/>").when(k == 1, "<o m='application/vnd.oasis.opendocument.spreadsheet'/>").when(k == 2, "<o xmlns='urn:oasis:names:tc:opendocument:x'/>").otherwise("<html/>")
-    return t.pages.select("page_id", A.open_document_kind(xml).alias("kind"))
-
-
 @query("SELECT doc_id, substr(coalesce(CASE WHEN length(s) >= 15 THEN s END, text), 1, 600) AS subject FROM (SELECT doc_id, text, substr(array_to_string(list_transform(list_slice(list_filter(string_split(text, chr(10)), lambda x: contains(lower(x), 'that') OR contains(lower(x), 'dans')), 1, 6), lambda x: trim(regexp_replace(x, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))), '; '), 1, 600) AS s FROM documents)".replace("\\\\", "\\"))
 def subject_or_text(t):
     subject = A.subject_lines(F.col("text"), ["that", "dans"])
