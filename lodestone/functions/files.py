@@ -135,3 +135,15 @@ def extension(path: Column) -> Column:
 def is_marked(name: Column, part: int = 8) -> Column:
     """Whether the eighth part of a name between underscores is 1."""
     return F.coalesce(F.get(F.split(name, "_"), part - 1) == "1", F.lit(False))
+
+
+def category(path: Column, categories: dict[str, tuple[str, ...]], rest: str | None = None) -> Column:
+    """The category that lists a path's extension, with its dot and in lower case; `rest` for others and for none.
+
+    An extension that two categories list belongs to the first.
+    """
+    of = {e: name for name, listed in reversed(categories.items()) for e in listed}
+    if not of:
+        return F.lit(rest).cast("string")
+    table = F.create_map(*(F.lit(x) for kv in of.items() for x in kv))
+    return F.coalesce(F.element_at(table, extension(path)), F.lit(rest))

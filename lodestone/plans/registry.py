@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import catalog, change_queries, column_queries, evaluation_queries, form_queries, gate_queries, metric_queries, model_queries, parsed_queries, report_queries, sample_queries, source_queries, stream_queries, text_queries, theme_queries  # noqa: F401
+from . import agreement_queries, catalog, change_queries, column_queries, evaluation_queries, form_queries, gate_queries, metric_queries, model_queries, parsed_queries, report_queries, sample_queries, source_queries, stream_queries, text_queries, theme_queries  # noqa: F401
 
 
 def queries() -> dict[str, catalog.Query]:
