@@ -90,6 +90,16 @@ def test_differing_parities_are_at_most_the_ngrams_not_shared():
         assert differ <= len(np.setxor1d(a, b))
 
 
+def test_ngram_join_makes_a_pair_of_near_copies_once(spark):
+    # 60 rows that share 20 columns: 1,770 pairs, 35,400 with one row for each common column.
+    nodes = [(key, node, 147, 146 - key, 0, *[0] * len(ngram_join.PARITIES)) for node in range(60) for key in range(20)]
+    names = ["key", "node", "n", "rest", "salt", *ngram_join.PARITIES]
+    rows = spark.createDataFrame(nodes, ", ".join(f"{c} long" for c in names))
+    rows = rows.withColumns({"root": F.col("node"), "lately": ngram_join._lately()})
+    found = ngram_join._met(rows.withColumn("main", F.lit(-1)), rows, ngram_join.PERCENT)
+    assert found.count() == found.distinct().count() == 60 * 59 // 2
+
+
 def test_ngram_join_of_an_empty_table(spark):
     assert ngram_join.join(frame(spark, []), Scratch(spark, "t")).collect() == []
 
