@@ -4,6 +4,7 @@ import os
 import random
 import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +67,23 @@ def test_near_duplicates_and_split(spark):
     assert 66 <= split.filter("split = 'test'").count() <= 69
 
 
+def test_large_sets_that_differ_are_not_held_against_each_other(spark):
+    # Parities of BITS groups let any two sets of 4,000 pass; sketches let pass what is similar, at all sizes.
+    rng = np.random.default_rng(5)
+    fresh = lambda k: rng.integers(0, 2**63, k, dtype=np.uint64)
+    a, b, small = fresh(4000), fresh(4000), fresh(900)
+    sets = [a, b, small, np.concatenate([a[:3700], fresh(300)]), np.concatenate([a, fresh(2000)]), np.concatenate([a, fresh(200)]), np.concatenate([small, fresh(300)])]
+    names = ["i", "n", *dedup.PARITIES, "sketch"]
+    rows = spark.createDataFrame([(i, len(g), *dedup.parities(g).tolist(), dedup.sketch(g).tolist()) for i, g in enumerate(sets)], f"i long, n long, {', '.join(f'{w} long' for w in dedup.PARITIES)}, sketch array<long>")
+    side = lambda s: rows.select(*(F.col(c).alias(f"{c}_{s}") for c in names))
+    pairs = side("x").join(side("y"), F.col("i_x") < F.col("i_y")).filter(dedup._can_link("x", "y", 0.8))
+    loose, tight = ({(r[0], r[1]) for r in df.select("i_x", "i_y").collect()} for df in (pairs, pairs.filter(dedup._sketches_fit("x", "y", 0.8))))
+    assert (0, 1) in loose and (0, 1) not in tight
+    cosine = lambda x, y: len(np.intersect1d(x, y)) / np.sqrt(len(x) * len(y))
+    links = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if cosine(sets[i], sets[j]) >= 0.8}
+    assert {(0, 3), (0, 4), (0, 5), (2, 6)} <= links <= tight
+
+
 def test_near_duplicates_are_all_links_of_crowded_buckets(spark):
     rng = random.Random(9)
     vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(90)]
