@@ -10,6 +10,8 @@ from ..operators import sampling as S
 from .catalog import query
 from .theme_queries import r6
 
+#: Names whose grams a task counts.
+NAMES_A_PART = 8192
 _SHUFFLED = "md5('42:' || {})"
 
 
@@ -168,4 +170,7 @@ def subject_or_text(t):
 
 @query("WITH w AS (SELECT p_partkey, unnest(list_filter(string_split(lower(p_name), ' '), lambda x: x <> '')) AS w FROM part), p AS (SELECT p_partkey, ' ' || w || ' ' AS w FROM w), g AS (SELECT p_partkey, substr(md5(substr(w, CAST(i AS BIGINT), CAST(n AS BIGINT))), 1, 3) AS b FROM p, range(1, 60) t(i), range(3, 6) s(n) WHERE i <= length(w) - n + 1) SELECT p_partkey, b AS bucket, count(*) AS n FROM g GROUP BY ALL")
 def char_gram_vector(t):
-    return t.part.select("p_partkey", F.explode(A.gram_buckets(F.col("p_name"))).alias("bucket")).groupBy("p_partkey", "bucket").agg(F.count("*").alias("n"))
+    # Names are dealt by key, so many to a part, before they are cut: a few tasks read a table of any size, and would count all its grams.
+    parts = max(t.spark.sparkContext.defaultParallelism, -(-t.part.count() // NAMES_A_PART))
+    names = t.part.select("p_partkey", "p_name").repartition(parts, "p_partkey")
+    return names.select("p_partkey", F.explode(A.gram_buckets(F.col("p_name"))).alias("bucket")).groupBy("p_partkey", "bucket").agg(F.count("*").alias("n"))

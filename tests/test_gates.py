@@ -8,6 +8,8 @@ from lodestone.operators import evaluation as E
 from lodestone.operators import gates as G
 from lodestone.operators import sampling as S
 from lodestone.operators import reports as R
+from lodestone.plans import gate_queries
+from lodestone.plans.catalog import Tables
 
 
 def one(spark, column):
@@ -103,3 +105,12 @@ def test_own_groups_and_validity_of_one_cluster(spark):
     assert {r["k"]: r["group"] for r in E.own_groups(rows, "k", "label").collect()} == {1: 5, 2: 4, 3: 6}
     alone = spark.createDataFrame([(1, 0, [1.0, 2.0])], "k long, label int, embedding array<double>")
     assert tuple(E.validity(alone).first()) == (None, None, None)
+
+
+def test_grams_of_names_are_counted_by_many_tasks_however_few_read_them(spark, tmp_path, monkeypatch):
+    names = spark.range(2000).select(F.col("id").alias("p_partkey"), F.concat(F.lit("almond antique "), F.col("id")).alias("p_name"))
+    names.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    monkeypatch.setattr(gate_queries, "NAMES_A_PART", 100)
+    found = gate_queries.char_gram_vector(Tables(spark, str(tmp_path)))
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < sum(sizes) / 10
