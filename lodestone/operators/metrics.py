@@ -16,6 +16,9 @@ from . import themes as TH
 
 MAX_GROUPS = 2_000
 
+#: Similarities that a task of `leave_one_out` holds at a time.
+SIMILARITIES = 1 << 21
+
 
 def leave_one_out(vectors: DataFrame, key: str, label: str = "label", vector: str = "embedding", singles: bool = False) -> DataFrame:
     """key, label, own (cosine to the label's centroid without the row), best_other, correct (own > best_other), in_top_3.
@@ -37,10 +40,18 @@ def leave_one_out(vectors: DataFrame, key: str, label: str = "label", vector: st
         rest = total[at] - x
         length = np.linalg.norm(rest, axis=1)
         own = np.where(n[at] > 1, (rest * x).sum(1) / np.where(length > 0, length, 1), 0.0 if singles else np.nan)
-        all_sims = x @ TH._unit(total).T
-        all_sims[np.arange(len(x)), at] = -2
-        third = -np.partition(-all_sims, 2, axis=1)[:, 2] if len(labels) > 3 else np.full(len(x), -2.0)
-        return pd.DataFrame({"own": own, "best_other": all_sims.max(1) if len(labels) > 1 else np.full(len(x), np.nan), "third_other": third})
+        # Labels may grow with the rows: so many rows at a time that their similarities to all labels fit SIMILARITIES.
+        centres, best, third = TH._unit(total).T, np.full(len(x), np.nan), np.full(len(x), -2.0)
+        step = max(1, SIMILARITIES // max(1, len(labels)))
+        for i in range(0, len(x), step):
+            sims = x[i : i + step] @ centres
+            sims[np.arange(len(sims)), at[i : i + step]] = -2
+            if len(labels) > 1:
+                best[i : i + step] = sims.max(1)
+            if len(labels) > 3:
+                sims.partition(len(labels) - 3, axis=1)
+                third[i : i + step] = sims[:, -3]
+        return pd.DataFrame({"own": own, "best_other": best, "third_other": third})
 
     out = unit.filter(F.col(label) != TH.NOISE).withColumn("_s", score(F.col(label), F.col(vector)))
     out = out.select(key, F.col(label).alias("label"), F.col("_s.own").alias("own"), F.col("_s.best_other").alias("best_other"), (F.col("_s.own") > F.col("_s.third_other")).alias("in_top_3"))

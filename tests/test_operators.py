@@ -212,3 +212,16 @@ def test_sources_and_stream(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 10
     with pytest.raises(ValueError):
         sinks.run_state("paused")
+
+
+def test_leave_one_out_holds_few_similarities_at_a_time(spark, monkeypatch):
+    # 90 labels, some of them single: each batch is scored in pieces, with the same result.
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist(), i % 60 if i % 4 else 100 + i) for i in range(240)]
+    score = lambda: sorted(map(tuple, metrics.leave_one_out(vectors(spark, rows).withColumnRenamed("embedding", "v"), "vec_id", vector="v", singles=True).collect()))
+    whole = score()
+    monkeypatch.setattr(metrics, "SIMILARITIES", 256)
+    pieces = score()
+    assert len(whole) == 240 and [r[0] for r in whole] == [r[0] for r in pieces]
+    for a, b in zip(whole, pieces, strict=True):
+        assert a[1] == b[1] and a[4:] == b[4:] and a[2:4] == pytest.approx(b[2:4])
