@@ -100,6 +100,28 @@ def test_ngram_join_makes_a_pair_of_near_copies_once(spark):
     assert found.count() == found.distinct().count() == 60 * 59 // 2
 
 
+def test_ngram_join_leaves_few_pairs_of_a_group_that_links_in_part(spark):
+    # Copies with one or two of 120 words changed: about half of the pairs link, so pivots leave some of the group apart.
+    rng, texts, left = random.Random(7), [], []
+    base = [str(rng.randrange(10**6)) for _ in range(120)]
+    for k in range(400):
+        copy = list(base)
+        for at in rng.sample(range(120), 1 + k % 3):
+            copy[at] = f"w{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+
+    class Counted(Scratch):
+        def table(self, name, df):
+            out = super().table(name, df)
+            if name == "close":
+                left.append(out.count())
+            return out
+
+    got = ngram_join.join(frame(spark, texts), Counted(spark, "t")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_components(texts, 4, 85)
+    assert left[0] <= 2 * len(texts)
+
+
 def test_ngram_join_of_an_empty_table(spark):
     assert ngram_join.join(frame(spark, []), Scratch(spark, "t")).collect() == []
 
