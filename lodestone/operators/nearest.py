@@ -2,7 +2,8 @@
 
 Unit vectors lie in lists around coarse centroids, each with a centre and a radius; a crowded list is several
 blocks. A block of queries meets the blocks of the index nearest first, and no further than the triangle
-inequality allows its rows to hold anything better: so the search is exact, and far blocks aren't sent at all.
+inequality allows its rows to hold anything better: so the search is exact, and far blocks aren't read at all.
+Blocks are files; a task holds a few blocks of queries and reads each block that one of them may need once.
 With `probes`, a block of queries meets so many blocks only; what that finds is a part of the exact answer,
 and `recall` measures how much.
 
@@ -19,22 +20,22 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import graph
+from . import blocks as B, graph
 
 #: Rows of a block, and blocks. Beyond their product, blocks grow.
 BLOCK_ROWS, MAX_BLOCKS = 2048, 4096
 _TILE = 1024
 _SLACK = 1e-9
-_FIELDS = ("key", "label", "x", "asked")
+#: Blocks of queries that a task holds, at most.
+_HELD = 16
 _BLOCK = "block int, key binary, label binary, x binary, asked binary"
-_ARROW = pa.schema([("q", "int32"), ("near", "float64"), ("block", "int32"), *((c, "binary") for c in _FIELDS)])
 
 
 class _Rows(NamedTuple):
-    """A block's keys in order, labels (the least number for null), vectors, and vectors to ask with."""
+    """A block's keys in order, labels (the least number for null), vectors, and vectors to ask with, where they were read."""
 
     key: np.ndarray
     label: np.ndarray
@@ -43,7 +44,10 @@ class _Rows(NamedTuple):
 
 
 class Index(NamedTuple):
-    blocks: DataFrame
+    spark: SparkSession
+    blocks: B.Blocks
+    #: The blocks' numbers.
+    numbers: list[int]
     #: Centre and radius of each block's vectors, and of those to ask with.
     centre: np.ndarray
     radius: np.ndarray
@@ -51,18 +55,13 @@ class Index(NamedTuple):
     asked_radius: np.ndarray
 
 
-def _open(r: dict) -> _Rows:
+def _open(blocks: B.Blocks, block: int, asked: bool = True) -> _Rows:
+    r = blocks.open(block, ["key", "label", "x", *(["asked"] if asked else [])])
     key = np.frombuffer(r["key"], "<i8")
-    shaped = lambda c: np.frombuffer(r[c], "<f8").reshape(len(key), -1)
+    shaped = lambda c: np.frombuffer(r[c], "<f8").reshape(len(key), -1) if c in r else np.empty((0, 0))
     return _Rows(key, np.frombuffer(r["label"], "<i8"), shaped("x"), shaped("asked"))
 
 
-def _dicts(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
-
-
 def build(rows: DataFrame, key: str, vector: str, label: str | None = None, ask: str | None = None, folder: str | None = None) -> Index:
     """The index of a table's vectors; `ask` names the vectors to search with, where they are others."""
     spark, folder = rows.sparkSession, folder or graph.shared_folder(rows.sparkSession)
@@ -95,19 +94,19 @@ def build(rows: DataFrame, key: str, vector: str, label: str | None = None, ask:
         flat = lambda c: _unit(np.stack(pdf[c].to_numpy()).astype(float)).astype("<f8").tobytes()
         return pd.DataFrame({"block": pdf["block"].iloc[:1], "key": [pdf["key"].to_numpy().astype("<i8").tobytes()], "label": [label.astype("<i8").tobytes()], "x": [flat("x")], "asked": [flat("asked")]})
 
-    blocks = graph.kept(dealt.select("block", "key", "label", "x", "asked").groupBy("block").applyInPandas(pack, _BLOCK), f"{folder}/blocks")
+    blocks = B.kept(dealt.select("block", "key", "label", "x", "asked").groupBy("block").applyInPandas(pack, _BLOCK), f"{folder}/blocks")
 
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in _dicts(batches):
-            b = _open(r)
+    def measured(group: list[int]) -> Iterator[pa.RecordBatch]:
+        for block in group:
+            b = _open(blocks, block)
             ball = lambda x: (x.mean(0).tolist(), float(np.linalg.norm(x - x.mean(0), axis=1).max()))
-            out = (r["block"], *ball(b.x), *ball(b.asked))
+            out = (block, *ball(b.x), *ball(b.asked))
             yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(out, ("int32", pa.list_(pa.float64()), "float64", pa.list_(pa.float64()), "float64"), strict=True)], ["block", "c", "r", "ac", "ar"])
 
-    with graph.small_batches(spark, 2):
-        # Bounded by MAX_BLOCKS and the crowded lists' parts: about twice that at most.
-        found = sorted(blocks.mapInArrow(measured, "block int, c array<double>, r double, ac array<double>, ar double").collect(), key=lambda r: r["block"])
-    return Index(blocks, *(np.array([r[c] for r in found]) for c in ("c", "r", "ac", "ar")))
+    there = [[r["block"]] for r in dealt.select("block").distinct().collect()]
+    # Bounded by MAX_BLOCKS and the crowded lists' parts: about twice that at most.
+    found = sorted(B.tasks(spark, there, measured, "block int, c array<double>, r double, ac array<double>, ar double").collect(), key=lambda r: r["block"])
+    return Index(spark, blocks, [r["block"] for r in found], *(np.array([r[c] for r in found]) for c in ("c", "r", "ac", "ar")))
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -115,39 +114,44 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(length > 0, length, 1)
 
 
-def _least(index: Index, own: int) -> np.ndarray:
-    """Least distance of this block's vectors to what each block asks with."""
-    return np.maximum(np.linalg.norm(index.asked_centre - index.centre[own], axis=1) - index.asked_radius - index.radius[own] - _SLACK, 0)
-
-
-def _met(index: Index, wanted) -> DataFrame:
-    """Each block q of queries beside the blocks that wanted(least distances to q, block) names: its own first, then the nearest."""
-    spark, known = index.blocks.sparkSession, index._replace(blocks=None)
-    sent = spark.sparkContext.broadcast(known)
+def _least(index: Index, q: int) -> np.ndarray:
+    """Least distance of each block's vectors to what the block in place q asks with."""
+    return np.maximum(np.linalg.norm(index.centre - index.asked_centre[q], axis=1) - index.radius - index.asked_radius[q] - _SLACK, 0)
 
-    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in _dicts(batches):
-            own = r["block"]
-            near = _least(sent.value, own)
-            take = wanted(near, own)
-            take[own] = True
-            for q in np.flatnonzero(take):
-                yield pa.RecordBatch.from_pylist([{"q": int(q), "near": -1.0 if q == own else float(near[q]), **r}], _ARROW)
 
-    n = len(index.radius)
-    return index.blocks.mapInArrow(out, f"q int, near double, {_BLOCK}").repartition(max(1, min(n, 4096)), "q").sortWithinPartitions("q", "near")
+def _met(index: Index, start, step, bar, end, schema: str, probes: int | None = None) -> DataFrame:
+    """end(state) of each block of queries, made by start(rows) and, for blocks that may hold something better, step(state, rows).
 
+    bar(state) is the least similarity that still matters. A task's queries meet their own blocks first, then the nearest; with
+    `probes`, the blocks with so many nearest centres, whatever they may hold.
+    """
+    spark, n, known = index.spark, len(index.radius), index._replace(spark=None)
+    sent = spark.sparkContext.broadcast(known)
+    held = max(1, min(_HELD, n // (4 * spark.sparkContext.defaultParallelism)))
+
+    def meet(group: list[int]) -> Iterator[pa.RecordBatch]:
+        index = sent.value
+        states, near, wanted = {}, {}, {}
+        for q in group:
+            states[q] = start(b := _open(index.blocks, index.numbers[q]))
+            step(states[q], b)
+            near[q] = _least(index, q)
+            wanted[q] = np.full(n, True)
+            if probes is not None:
+                wanted[q][np.linalg.norm(index.centre - index.asked_centre[q], axis=1).argsort(kind="stable")[probes:]] = False
+            wanted[q][q] = False
+        # A similarity of unit vectors is 1 - distance squared / 2; a zero vector's is 0.
+        better = lambda q, k: near[q][k] <= 0 or max(1 - near[q][k] ** 2 / 2, 0) + _SLACK >= bar(states[q])
+        for k in np.argsort(np.min([near[q] for q in group], axis=0), kind="stable"):
+            for_it = [q for q in group if wanted[q][k] and better(q, k)]
+            if for_it:
+                other = _open(index.blocks, index.numbers[k], asked=False)
+                for q in for_it:
+                    step(states[q], other)
+        for q in group:
+            yield end(states[q])
 
-def _folded(batches: Iterator[pa.RecordBatch], start, step, end) -> Iterator[pa.RecordBatch]:
-    q, state = None, None
-    for r in _dicts(batches):
-        if r["q"] != q:
-            if state is not None:
-                yield end(state)
-            q, state = r["q"], start(_open(r))
-        step(state, _open(r), r["near"])
-    if state is not None:
-        yield end(state)
+    return B.tasks(spark, [list(range(i, min(i + held, n))) for i in range(0, n, held)], meet, schema)
 
 
 class _Best:
@@ -159,10 +163,7 @@ class _Best:
         self.row, self.sim = np.empty(0, np.int64), np.empty(0)
         self.key, self.label = np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def meet(self, other: _Rows, near: float) -> None:
-        # A similarity of unit vectors is 1 - distance squared / 2; a zero vector's is 0.
-        if near > 0 and max(1 - near * near / 2, 0) + _SLACK < self.least.min():
-            return
+    def meet(self, other: _Rows) -> None:
         parts = [(self.row, self.sim, self.key, self.label)]
         for lo in range(0, len(self.b.key), _TILE):
             s = self.b.asked[lo : lo + _TILE] @ other.x.T
@@ -196,30 +197,10 @@ def neighbours(index: Index, k: int, probes: int | None = None, folder: str | No
 
     Exact without `probes`; with it, a block of queries looks into that many blocks, those with the nearest centres.
     """
-    spark = index.blocks.sparkSession
-    n, known = len(index.radius), index._replace(blocks=None)
-    if not n:
-        return spark.createDataFrame([], _FOUND)
-    folder = folder or graph.shared_folder(spark)
-    with graph.small_batches(spark, 2):
-        if probes is None:
-            # The least similarity that a block's queries have to the last of k in their own block bounds how far they look.
-            def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for r in _dicts(batches):
-                    best = _Best(b := _open(r), k)
-                    best.meet(b, -1.0)
-                    yield pa.RecordBatch.from_arrays([pa.array([r["block"]], "int32"), pa.array([float(best.least.min())])], ["block", "least"])
-
-            least = np.full(n, -np.inf)
-            for r in index.blocks.mapInArrow(own, "block int, least double").collect():
-                least[r["block"]] = r["least"]
-            wanted = lambda near, own: np.maximum(1 - near * near / 2, 0) + _SLACK >= least
-        else:
-            apart = np.array([np.linalg.norm(known.asked_centre - c, axis=1) for c in known.centre])
-            rank = apart.argsort(0, kind="stable").argsort(0, kind="stable")
-            wanted = lambda near, own: rank[own] < probes
-        met = _met(index, wanted)
-        return graph.kept(met.mapInArrow(lambda batches: _folded(batches, lambda b: _Best(b, k), _Best.meet, _Best.rows), _FOUND), f"{folder}/found")
+    if not len(index.radius):
+        return index.spark.createDataFrame([], _FOUND)
+    folder = folder or graph.shared_folder(index.spark)
+    return graph.kept(_met(index, lambda b: _Best(b, k), _Best.meet, lambda best: best.least.min(), _Best.rows, _FOUND, probes), f"{folder}/found")
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
@@ -230,16 +211,15 @@ def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
 
 def ranks(index: Index, folder: str | None = None) -> DataFrame:
     """key, own (similarity of the row's two vectors), above: how many rows' vectors are more similar to what the row asks with."""
-    spark, n = index.blocks.sparkSession, len(index.radius)
     schema = "key long, own double, above long"
-    if not n:
-        return spark.createDataFrame([], schema)
-    folder = folder or graph.shared_folder(spark)
+    if not len(index.radius):
+        return index.spark.createDataFrame([], schema)
+    folder = folder or graph.shared_folder(index.spark)
 
     def start(b: _Rows) -> dict:
         return {"b": b, "own": (b.x * b.asked).sum(1), "above": np.zeros(len(b.key), np.int64)}
 
-    def step(state: dict, other: _Rows, near: float) -> None:
+    def step(state: dict, other: _Rows) -> None:
         b = state["b"]
         for lo in range(0, len(b.key), _TILE):
             s = b.asked[lo : lo + _TILE] @ other.x.T
@@ -250,15 +230,5 @@ def ranks(index: Index, folder: str | None = None) -> DataFrame:
     def end(state: dict) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(state["b"].key), pa.array(state["own"]), pa.array(state["above"])], ["key", "own", "above"])
 
-    def worst(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in _dicts(batches):
-            b = _open(r)
-            yield pa.RecordBatch.from_arrays([pa.array([r["block"]], "int32"), pa.array([float((b.x * b.asked).sum(1).min())])], ["block", "least"])
-
-    with graph.small_batches(spark, 2):
-        least = np.zeros(n)
-        for r in index.blocks.mapInArrow(worst, "block int, least double").collect():
-            least[r["block"]] = r["least"]
-        # Blocks that can hold nothing above the least own similarity stay away.
-        met = _met(index, lambda near, own: np.maximum(1 - near * near / 2, 0) + _SLACK >= least)
-        return graph.kept(met.mapInArrow(lambda batches: _folded(batches, start, step, end), schema), f"{folder}/ranks")
+    # Blocks that can hold nothing above the least own similarity stay away.
+    return graph.kept(_met(index, start, step, lambda state: state["own"].min(), end, schema), f"{folder}/ranks")

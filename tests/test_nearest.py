@@ -81,3 +81,12 @@ def test_awkward_vectors(spark):
     assert got[1, 1] == (6, None) and {q for q, _ in got} == {1, 4, 6} and got[6, 1] == (1, 0)
     empty = nearest.build(frame.limit(0), "k", "v", "l")
     assert nearest.neighbours(empty, 2).collect() == [] and nearest.ranks(empty).collect() == []
+
+
+def test_no_block_is_sent_to_the_blocks_that_meet_it(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "BLOCK_ROWS", 20)
+    rows, plans, kept = rows_of(random.Random(2), 200, 8, 0), {}, nearest.graph.kept
+    monkeypatch.setattr(nearest.graph, "kept", lambda df, path: (plans.update({path.split("/")[-1]: df._jdf.queryExecution().toString()}), kept(df, path))[1])
+    index = nearest.build(spark.createDataFrame(rows, "k long, v array<double>, l int"), "k", "v", "l")
+    assert nearest.neighbours(index, 3).count() == 600 and nearest.ranks(index).count() == 200
+    assert "Exchange" not in plans["found"] and "Exchange" not in plans["ranks"]
