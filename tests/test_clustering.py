@@ -265,3 +265,14 @@ def test_cluster_queries_are_those_of_all_pairs(spark):
 def same_groups(a, b):
     """Whether two labellings are one up to the names; noise is noise in both."""
     return len(set(zip(a, b, strict=True))) == len(set(a)) == len(set(b)) and all((x == -1) == (y == -1) for x, y in zip(a, b, strict=True))
+
+
+def test_no_block_is_sent_to_the_blocks_that_meet_it(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(density, "BLOCK_ROWS", 20)
+    plans, kept = {}, density.graph.kept
+    monkeypatch.setattr(density.graph, "kept", lambda df, path: (plans.update({path.split("/")[-1]: df._jdf.queryExecution().toString()}), kept(df, path))[1])
+    rng = np.random.default_rng(4)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(150, 6)))], "k long, v array<double>")
+    _, points, n = density._points(frame, "k", "v", f"file://{tmp_path}")
+    assert density._cores(points, 3, n, f"file://{tmp_path}").count() == 150
+    assert "Exchange" not in plans["cores"]
