@@ -4,7 +4,7 @@ Reading lists the archives on the driver, by name and size only. Small archives
 by byte ranges: a task takes the members that begin in its range, as it does with row groups of Parquet. Each task
 reads the list of members itself, and one member at a time.
 
-Writing gives each task an archive of its own below a hidden folder; what finished tasks wrote is moved when all
+Writing gives each task archives of its own, of a bounded number of members, below a hidden folder; what finished tasks wrote is moved when all
 have ended, so a lost executor or a second attempt leaves nothing behind.
 
 Folders are opened with pyarrow's file systems, so every executor must reach the path.
@@ -35,6 +35,8 @@ from ..functions import text as T
 
 SCHEMA = "archive string, member string, place int, length long, content binary, error string"
 PARTITION_BYTES, MEMBER_BYTES = 64 << 20, 1 << 30
+#: Members of a written archive, at most.
+ARCHIVE_MEMBERS = 1 << 14
 TEXT_MEMBERS = (".xml", ".rels", ".txt")
 _END = 1 << 62
 _NO_ARCHIVE = (zipfile.BadZipFile, NotImplementedError, ValueError, EOFError)
@@ -50,7 +52,7 @@ class Part(InputPartition):
 
 @dataclass
 class Written(WriterCommitMessage):
-    name: str | None
+    names: list[str]
 
 
 def planned(files: list[tuple[str, int]], target: int) -> list[Part]:
@@ -115,23 +117,26 @@ class _Writer(DataSourceWriter):
         rows = iter(iterator)
         first = next(rows, None)
         if first is None:
-            return Written(None)
+            return Written([])
         store, root = fs.FileSystem.from_uri(self.path)
-        name = f"{uuid.uuid4().hex}.zip"
         store.create_dir(f"{root}/{self.hidden}", recursive=True)
-        with store.open_output_stream(f"{root}/{self.hidden}/{name}") as out, zipfile.ZipFile(out, "w") as archive:
-            while first is not None:
-                archive.writestr(zipfile.ZipInfo(first["member"] or ""), bytes(first["content"] or b""), zipfile.ZIP_DEFLATED)
-                first = next(rows, None)
-        return Written(name)
+        names = []
+        while first is not None:
+            # A reader holds an archive's list of members, so a full one is followed by another.
+            names.append(f"{uuid.uuid4().hex}.zip")
+            with store.open_output_stream(f"{root}/{self.hidden}/{names[-1]}") as out, zipfile.ZipFile(out, "w") as archive:
+                while first is not None and len(archive.filelist) < ARCHIVE_MEMBERS:
+                    archive.writestr(zipfile.ZipInfo(first["member"] or ""), bytes(first["content"] or b""), zipfile.ZIP_DEFLATED)
+                    first = next(rows, None)
+        return Written(names)
 
     def commit(self, messages: list[Written | None]) -> None:
         store, root = fs.FileSystem.from_uri(self.path)
         store.create_dir(root, recursive=True)
         old = [f.path for f in store.get_file_info(fs.FileSelector(root)) if f.is_file and _visible(f.path, root)] if self.overwrite else []
         for m in messages:
-            if m and m.name:
-                store.move(f"{root}/{self.hidden}/{m.name}", f"{root}/{m.name}")
+            for name in m.names if m else ():
+                store.move(f"{root}/{self.hidden}/{name}", f"{root}/{name}")
         for path in old:
             store.delete_file(path)
         self._tidy(store, root)
@@ -171,7 +176,7 @@ def members(spark: SparkSession, path: str, pattern: str = "*", partition_bytes:
 
 
 def write(rows: DataFrame, path: str, mode: str = "append") -> None:
-    """member and content of rows as archives, one of each task that has rows."""
+    """member and content of rows as archives, one or more of each task that has rows."""
     rows.sparkSession.dataSource.register(ArchiveMembers)
     plain = rows.select("member", F.col("content").cast("binary").alias("content"))
     plain.write.format("archive_members").mode(mode).save(path)

@@ -208,3 +208,12 @@ def test_keyset_stream_goes_on_after_it_was_killed(spark, tmp_path):
         rows.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out).awaitTermination()
         got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
         assert got == sorted(tuple(r) for r in keyset.batch(spark, "id long, text string", **options).collect()) and len(got) == 1000
+
+
+def test_a_written_archive_has_a_bounded_number_of_members(spark, tmp_path):
+    assert archives.ARCHIVE_MEMBERS == 1 << 14
+    rows = spark.range(0, (1 << 14) + 10, 1, 1).selectExpr("CAST(id AS STRING) AS member", "CAST(id AS STRING) AS content")
+    archives.write(rows, f"file://{tmp_path}/out")
+    read = archives.members(spark, f"file://{tmp_path}/out")
+    assert sorted(r["count"] for r in read.groupBy("archive").count().collect()) == [10, 1 << 14]
+    assert read.selectExpr("CAST(content AS STRING) = member AS same").filter("same").count() == (1 << 14) + 10
