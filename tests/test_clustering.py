@@ -217,6 +217,29 @@ def test_average_linkage_is_the_plain_one(spark, monkeypatch, threshold, block):
     assert linked(spark, rows, threshold)[0] == want
 
 
+@pytest.mark.parametrize("threshold, group", [(0.3, 25), (0.7, 40)])
+def test_average_linkage_of_groups_too_large_for_a_task(spark, monkeypatch, threshold, group):
+    """They are parted at higher similarities, with the same clusters; links that none parts merge by pairs."""
+    monkeypatch.setattr(linkage, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(linkage, "GROUP_ROWS", group)
+    rows = blobs(random.Random(group), 150, 4, 3) + [[0.0, 1.0, 0.0, 0.0]] * 40
+    assert linked(spark, rows, threshold)[0] == average_linkage(rows, threshold)
+    monkeypatch.setattr(linkage, "GROUP_ROWS", 2)
+    even = [[float(i == j) for j in range(5)] for i in range(5)]
+    assert len(linked(spark, even, 1.1)[0]) == len(average_linkage(even, 1.1)) == 1
+
+
+def test_average_linkage_takes_no_pass_for_each_merge(spark, monkeypatch):
+    """A group of near copies merges a pair or two at a time: that is one task's work, not a pass over all blocks each time."""
+    monkeypatch.setattr(linkage, "BLOCK_ROWS", 40)
+    written, kept = [], graph.kept
+    monkeypatch.setattr(graph, "kept", lambda df, path: written.append(path) or kept(df, path))
+    rng = random.Random(8)
+    rows = [[1 + rng.gauss(0, 0.05) if k == 0 else rng.gauss(0, 0.05) for k in range(8)] for _ in range(120)] + blobs(rng, 60, 8, 60)
+    assert linked(spark, rows, 0.3)[0] == average_linkage(rows, 0.3)
+    assert len(written) < 40
+
+
 def test_average_linkage_of_awkward_rows(spark):
     rows = [[1.0, 0.0], [2.0, 0.0], None, [float("nan"), 0.0], [0.0, 0.0], [0.0, 0.0], [1.0], [0.0, -3.0]]
     groups, label = linked(spark, rows, 0.5)
