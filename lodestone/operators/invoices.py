@@ -83,7 +83,10 @@ def region(address: Column, places: Places) -> Column:
     """Region of an address: by code or name of its structured form, of its register form, else by a key in its text."""
 
     def by_code(code: Column) -> Column:
-        return reduce(lambda out, kv: F.when(code == kv[0], kv[1]).otherwise(out), places.regions.items(), F.lit(None).cast("string"))
+        if not places.regions:
+            return F.lit(None).cast("string")
+        # A look-up makes the code once, not once for each region.
+        return F.try_element_at(F.create_map(*(F.lit(x) for kv in places.regions.items() for x in kv)), code)
 
     def by_name(name: Column) -> Column:
         bare = F.regexp_replace(tidy(name), r"(?iu)^(г\.?\s+|Респ\.?\s+|Республика\s+)", "")
@@ -106,8 +109,8 @@ def town(address: Column, places: Places) -> Column:
     return F.coalesce(said(tidy(plain["_Город"])), said(tidy(plain["_НаселПункт"])), F.get(named, 0), known, tidy(address["АдрГАР"]["НаселенПункт"]))
 
 
-def party(p: Column, places: Places) -> Column:
-    """struct(name, inn, region, town): of an organisation, a sole trader, a foreigner or a person, in this order."""
+def party(p: Column, places: Places) -> dict[str, Column]:
+    """name, inn, region, town: of an organisation, a sole trader, a foreigner or a person, in this order."""
     who = p["ИдСв"]
     person = lambda x: F.concat_ws(" ", *(said(x["ФИО"][f"_{part}"]) for part in ("Фамилия", "Имя", "Отчество")))
     kinds = [("СвЮЛУч", lambda x: x["_НаимОрг"], "_ИННЮЛ"), ("СвИП", person, "_ИННФЛ"), ("СвИнНеУч", lambda x: x["_Наим"], "_Идентиф"), ("СвФЛУч", person, "_ИННФЛ")]
@@ -115,7 +118,7 @@ def party(p: Column, places: Places) -> Column:
     for kind, named, number in reversed(kinds):
         name = F.when(who[kind].isNotNull(), tidy(named(who[kind]), 200)).otherwise(name)
         inn = F.when(who[kind].isNotNull(), tidy(who[kind][number])).otherwise(inn)
-    return F.struct(name.alias("name"), inn.alias("inn"), region(p["Адрес"], places).alias("region"), town(p["Адрес"], places).alias("town"))
+    return {"name": name, "inn": inn, "region": region(p["Адрес"], places), "town": town(p["Адрес"], places)}
 
 
 def party_text(name: Column, inn: Column, region: Column, town: Column) -> Column:
@@ -178,9 +181,12 @@ def canonical(documents: DataFrame, places: Places, xml: str = "xml", rows: int
     error = F.when(F.col("_blank"), "empty").when(F.col("_x")["_broken"].isNotNull(), "broken").when(doc.isNull(), "no document")
     head = F.coalesce(doc["СвСчФакт"], doc["СвКСчФ"])
     out = out.withColumn("_error", error).withColumn("_head", head).withColumn("_table", F.coalesce(doc["ТаблСчФакт"], doc["ТаблКСчФ"])).withColumn("_given", doc["СвПродПер"])
-    out = out.withColumn("_seller", party(F.col("_head")["СвПрод"], places)).withColumn("_buyer", party(F.col("_head")["СвПокуп"], places))
+    # Parts that are shown several times are columns of their own: what is taken out of a struct is made anew at each place.
+    sides = {"seller": "СвПрод", "buyer": "СвПокуп"}
+    out = out.withColumns({f"_{side}_{part}": c for side, name in sides.items() for part, c in party(F.col("_head")[name], places).items()})
 
-    head, table, given, seller, buyer = (F.col(c) for c in ("_head", "_table", "_given", "_seller", "_buyer"))
+    head, table, given = (F.col(c) for c in ("_head", "_table", "_given"))
+    seller, buyer = ({part: F.col(f"_{side}_{part}") for part in ("name", "inn", "region", "town")} for side in sides)
     number = F.coalesce(said(tidy(head["_НомерДок"], 60)), tidy(head["_НомерКСчФ"], 60))
     date = F.coalesce(said(tidy(head["_ДатаДок"], 20)), tidy(head["_ДатаКСчФ"], 20))
     corrected = tidy(head["СчФ"]["_НомерСчФ"], 60)
@@ -206,10 +212,10 @@ def canonical(documents: DataFrame, places: Places, xml: str = "xml", rows: int
         "grounds": F.when(handed.isNotNull(), F.substring(joined, 1, grounds)).otherwise(""),
         "n_rows": F.size(listed), "n_shown": F.least(F.size(listed), F.lit(rows)),
     }
-    out = out.withColumn("fields", F.struct(*(c.alias(n) for n, c in fields.items())))
+    out = out.withColumns({f"_f_{n}": c for n, c in fields.items()})
     out = out.withColumn("_rows", F.transform(F.slice(listed, 1, rows), lambda r: _row_parts(r, remarks)))
 
-    f, lines = F.col("fields"), F.col("_rows")
+    f, lines = {n: F.col(f"_f_{n}") for n in fields}, F.col("_rows")
     bodies = lambda which: F.transform(lines, lambda r, i: F.struct(r[which].alias("body"), (i + 1).alias("at")))
     times = lambda r: F.when(r["n"] > 1, F.concat(F.lit(" (×"), r["n"].cast("string"), F.lit(")"))).otherwise("")
     span = lambda r: F.when(r["n"] > 1, F.concat(r["first"].cast("string"), F.lit("-"), r["last"].cast("string"))).otherwise(r["first"].cast("string"))
@@ -233,5 +239,5 @@ def canonical(documents: DataFrame, places: Places, xml: str = "xml", rows: int
     return out.select(
         *(F.col(c) for c in documents.columns if c != xml), ok.alias("ok"), F.coalesce("_error", F.lit("")).alias("error"),
         F.when(ok, full).otherwise("").alias("full_text"), F.when(ok, F.array_join(subject, " | ")).otherwise("").alias("subject_text"),
-        F.when(ok, f).alias("fields"),
+        F.when(ok, F.struct(*(c.alias(n) for n, c in f.items()))).alias("fields"),
     )

@@ -29,6 +29,8 @@ def invoice_text(t):
     row = F.concat(F.lit('<СведТов НаимТов="Part '), (F.col("l_partkey") % 3).cast("string"), F.lit('" НаимЕдИзм="шт"/>'))
     lines = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", row.alias("row")))).alias("lines"))
     joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    # Few bytes and much work: by its size alone the join would end in one task.
+    joined = joined.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
     xml = F.concat(
         F.lit('<?xml version="1.0" encoding="windows-1251"?><Файл><Документ><СвСчФакт НомерДок="'), F.col("o_orderkey").cast("string"),
         F.lit('" ДатаДок="'), F.date_format("o_orderdate", "dd.MM.yyyy"), F.lit('"><СвПрод><ИдСв><СвЮЛУч НаимОрг="Org '), F.col("c_custkey").cast("string"),
