@@ -75,6 +75,14 @@ _PERIOD = (
 )
 
 
+def _ahead(pattern: str, first: str) -> str:
+    """The pattern, tried only where what it begins with can follow: most places of a text are passed over at once."""
+    return f"(?iuU)(?={first})(?:{pattern.removeprefix('(?iuU)')})"
+
+
+_CONTRACT_THERE = _ahead(_CONTRACT, r"[\s,]*+[псвкд]")
+
+
 def without_references(text: Column) -> Column:
     """The text without contract references and periods; where less than 5 characters are left, the text itself.
 
@@ -84,7 +92,9 @@ def without_references(text: Column) -> Column:
     text = text.cast("string")
     turns = F.sequence(F.lit(0), F.length(F.regexp_replace(text, "[^0-9]", "")))
     left = lambda t, more: F.struct(t.alias("t"), more.alias("more"))
-    turn = lambda s, _: F.when(~s["more"], s).when(s["t"].rlike(_CONTRACT), left(F.regexp_replace(s["t"], _CONTRACT, " "), F.lit(True))).otherwise(left(s["t"], F.lit(False)))
+    # What is taken out holds a digit, so a text that stays the same had nothing.
+    once = lambda s: F.get(F.transform(F.array(F.regexp_replace(s["t"], _CONTRACT_THERE, " ")), lambda t: left(t, t != s["t"])), 0)
+    turn = lambda s, _: F.when(s["more"], once(s)).otherwise(s)
     out = F.aggregate(turns, left(text, F.lit(True)), turn, lambda s: s["t"])
     for pattern, by in ((_PERIOD, " "), (r"\s*[,;]\s*[,;.]+", ", "), (r"\s+([,;.])", "$1"), (r"\s+", " ")):
         out = F.regexp_replace(out, pattern, by)

@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import answers as A, files, text as T
+from ..operators import graph
 from .catalog import query
 
 NAMES = {f"T{k}": f"theme {k}" for k in range(5)}
@@ -124,7 +125,7 @@ d AS (SELECT doc_id, arg_max(t, i) AS t FROM r GROUP BY doc_id),
 s AS (SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '{_PERIOD}', ' ', 'g'), '\s*[,;]\s*[,;.]+', ', ', 'g'), '\s+([,;.])', '\1', 'g'), '\s+', ' ', 'g'), ' ,;.') AS s FROM d)
 SELECT doc_id, CASE WHEN length(s) >= 5 THEN s ELSE x END AS subject FROM s JOIN m USING (doc_id)""")
 def without_references(t):
-    return t.documents.select("doc_id", A.without_references(_marked(F.col("text"), _REFERENCES)).alias("subject"))
+    return graph.spread(t.documents.select("doc_id", "text")).select("doc_id", A.without_references(_marked(F.col("text"), _REFERENCES)).alias("subject"))
 
 
 _EMPHASIS = r"\*{1,2}|_{1,2}|`{1,3}"

@@ -1,9 +1,13 @@
 """Work that must be dealt to all tasks, or left out, as tables grow."""
 
+import math
 import os
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from lodestone.operators import graph, reports, themes
 from lodestone.plans import registry
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -13,3 +17,8 @@ tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 @tables
 def test_invoices_are_written_by_all_tasks(spark):
     assert registry.queries()["invoice_text"](spark, FOLDER).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@tables
+def test_references_are_looked_for_by_all_tasks(spark):
+    assert registry.queries()["without_references"](spark, FOLDER).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
