@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import graph
+
 
 def counted(rows: DataFrame, conditions: dict[str, Column], by: list[str] | None = None) -> DataFrame:
     """n and the number of rows for which each condition holds, in one pass."""
@@ -69,9 +73,30 @@ def by_source(tables: dict[str, DataFrame], key: str) -> DataFrame:
     return out.withColumn("total", sum((F.col(n) for n in tables), F.lit(0)))
 
 
+def percentiles(rows: DataFrame, value: str, shares: list[float]) -> list[float | None]:
+    """What F.percentile gives for each share, without all values in one task: they are counted and dealt by ranges, and a rank is looked up in its range."""
+    counted = rows.select(F.col(value).cast("double").alias("v")).filter("v is not null").groupBy("v").agg(F.count("*").alias("n"))
+    dealt = graph.kept(counted.repartitionByRange("v").select("v", "n", F.spark_partition_id().alias("part")), graph.shared_folder(rows.sparkSession))
+    # One row a range.
+    parts, before, first = sorted(dealt.groupBy("part").agg(F.sum("n").alias("n")).collect()), 0, []
+    for part, n in parts:
+        first.append((before, before + n, part))
+        before += n
+    if not before:
+        return [None] * len(shares)
+    places = [share * (before - 1) for share in shares]
+    ranks = sorted({r for p in places for r in (math.floor(p), math.ceil(p))})
+    held = {r: next((part, r - lo) for lo, hi, part in first if lo <= r < hi) for r in ranks}
+    upto = dealt.filter(F.col("part").isin(*{part for part, _ in held.values()})).withColumn("upto", F.sum("n").over(Window.partitionBy("part").orderBy("v")))
+    found = upto.agg(*(F.min(F.when((F.col("part") == part) & (F.col("upto") > at), F.col("v"))).alias(f"_{r}") for r, (part, at) in held.items())).first()
+    at = lambda r: found[f"_{r}"]
+    between = lambda p, lo, hi: at(lo) if at(lo) == at(hi) else (hi - p) * at(lo) + (p - lo) * at(hi)
+    return [between(p, math.floor(p), math.ceil(p)) for p in places]
+
+
 def histogram_2d(points: DataFrame, x: str, y: str, cells: int, low: float = 0.003, high: float = 0.997) -> DataFrame:
     """cx, cy, n, log_n of cells in a frame clipped at two percentiles; points outside go to the edge cells."""
-    box = points.agg(*(F.percentile(c, p).alias(f"_{c}{i}") for c in (x, y) for i, p in enumerate((low, high))))
-    cell = lambda c: F.least(F.greatest(F.floor((F.col(c) - F.col(f"_{c}0")) / (F.col(f"_{c}1") - F.col(f"_{c}0")) * cells), F.lit(0)), F.lit(cells - 1)).cast("int")
-    placed = points.join(F.broadcast(box)).select(cell(x).alias("cx"), cell(y).alias("cy"))
+    ends = {c: [F.lit(v).cast("double") for v in percentiles(points, c, [low, high])] for c in (x, y)}
+    cell = lambda c: F.least(F.greatest(F.floor((F.col(c) - ends[c][0]) / (ends[c][1] - ends[c][0]) * cells), F.lit(0)), F.lit(cells - 1)).cast("int")
+    placed = points.select(cell(x).alias("cx"), cell(y).alias("cy"))
     return placed.groupBy("cx", "cy").agg(F.count("*").alias("n")).withColumn("log_n", F.log1p("n"))

@@ -22,3 +22,14 @@ def test_invoices_are_written_by_all_tasks(spark):
 @tables
 def test_references_are_looked_for_by_all_tasks(spark):
     assert registry.queries()["without_references"](spark, FOLDER).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_percentiles_are_those_of_spark_without_one_task_for_all(spark, monkeypatch):
+    rng = random.Random(3)
+    shares = [0.0, 0.003, 0.25, 0.5, 0.997, 1.0]
+    for values in ([rng.gauss(0, 1) for _ in range(500)] + [None] * 5, [1.5] * 7 + [2.5], [4.0], [None], []):
+        rows = spark.createDataFrame([(v, v) for v in values], "x double, y double")
+        assert reports.percentiles(rows, "x", shares) == list(rows.agg(*(F.percentile("x", p) for p in shares)).first())
+    monkeypatch.setattr(F, "percentile", None)
+    rows = spark.createDataFrame([(float(i % 10), float(i)) for i in range(100)], "x double, y double")
+    assert reports.histogram_2d(rows, "x", "y", 4).agg(F.sum("n")).first()[0] == 100
