@@ -257,9 +257,16 @@ def class_terms(docs: DataFrame, group: str, text: str = "text", n: int = 10) ->
     # Written, as three steps read it: no text is cut into words twice.
     tf = graph.kept(tf, graph.shared_folder(docs.sparkSession))
     # Both totals come from the counted terms: a class's words are its terms here.
-    totals = tf.groupBy("group").agg(F.sum("tf").alias("n")).agg(F.avg("n").alias("mean_words"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    scored = tf.join(df, "term").join(F.broadcast(totals))
+    totals = tf.groupBy("group").agg(F.sum("tf").alias("n")).agg(F.avg("n").alias("mean_words"), F.count("*").alias("groups"))
+    # The nth greatest tf of a class, from how many terms have each tf. Its score is that of a term in all classes at
+    # least, and a tf whose score would be below that even for a term in one class is not among the best n.
+    per = tf.groupBy("group", "tf").agg(F.count("*").alias("terms"))
+    upto = per.withColumn("upto", F.sum("terms").over(Window.partitionBy("group").orderBy(F.desc("tf"))))
+    nth = upto.groupBy("group").agg(F.coalesce(F.max(F.when(F.col("upto") >= n, F.col("tf"))), F.min("tf")).alias("nth")).join(F.broadcast(totals))
+    least = nth.select(F.col("group").alias("_g"), (F.col("nth") * F.log(1 + F.col("mean_words") / F.col("groups")) / F.log(1 + F.col("mean_words")) * (1 - 1e-9) - 1e-6).alias("_least"))
+    may = graph.kept(tf.join(least, F.col("group").eqNullSafe(F.col("_g")) & (F.col("tf") >= F.col("_least"))).select("group", "term", "tf"), graph.shared_folder(docs.sparkSession))
+    df = tf.join(may.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+    scored = may.join(df, "term").join(F.broadcast(totals.select("mean_words")))
     scored = scored.withColumn("score", F.col("tf") * F.log(1 + F.col("mean_words") / F.col("df"))).filter("score > 0")
     order = Window.partitionBy("group").orderBy(F.desc(F.round("score", 9)), "term")
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select("group", "term", "tf", "score", "rank")
