@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T, vectors as V
-from ..operators import invoices, metrics as M, text_pairs as P
+from ..operators import graph, invoices, metrics as M, text_pairs as P
 from .catalog import query
 
 PLACES = invoices.Places({str(k): f"Region {k}" for k in range(20)})
@@ -86,4 +86,4 @@ def lowest_scores(t):
 @query()
 def word_substitutions(t):
     words = lambda c: T.recognised_words(c)
-    return P.word_substitutions(t.documents, "doc_id", words(F.col("text")), words(F.translate("text", "qzx", "gsk")))
+    return P.word_substitutions(graph.spread(t.documents.select("doc_id", "text")), "doc_id", words(F.col("text")), words(F.translate("text", "qzx", "gsk")))

@@ -54,3 +54,9 @@ def test_terms_that_cannot_be_among_the_best_are_not_scored(spark, monkeypatch):
     score = lambda g, t: round(count[g][t] * math.log(1 + mean / sum(t in c for c in count.values())), 9)
     want = {(g, t): (c[t], score(g, t), k + 1) for g, c in count.items() for k, t in enumerate(sorted(c, key=lambda t: (-score(g, t), t))[:10])}
     assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and got[k][2] == want[k][2] and abs(got[k][1] - want[k][1]) < 1e-6 for k in want)
+
+
+@tables
+def test_words_are_compared_by_all_tasks(spark):
+    plan = registry.queries()["word_substitutions"](spark, FOLDER)._jdf.queryExecution().toString()
+    assert f"RoundRobinPartitioning({spark.sparkContext.defaultParallelism})" in plan
