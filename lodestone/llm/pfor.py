@@ -52,8 +52,8 @@ def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[np.n
         out[begin + 4], out[begin + 5] = width, exceptions
         for w in np.unique(width[width > 0]):
             rows_w = np.flatnonzero(width == w)
-            planes = (rest[rows_w][:, :, None] >> np.arange(w, dtype=np.uint32)) & 1
-            packed = np.packbits(planes.astype(np.uint8).reshape(len(rows_w), -1), axis=1, bitorder="little")
+            planes = np.unpackbits(rest[rows_w].astype("<u4").view(np.uint8).reshape(len(rows_w), BLOCK, 4), axis=2, count=int(w), bitorder="little")
+            packed = np.packbits(planes.reshape(len(rows_w), -1), axis=1, bitorder="little")
             out[(begin[rows_w] + 6)[:, None] + np.arange(packed.shape[1])] = packed
         r, c = np.nonzero(wide)
         if len(r):
