@@ -42,7 +42,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = ngram_join.join(docs, Scratch(spark, "pipeline-ngrams"), WORDS, PERCENT)
+    found = ngram_join.join(docs, Scratch(spark, "pipeline-ngrams"), WORDS, PERCENT, count_links=False)
     gone = found.filter("component_id < doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 

@@ -81,6 +81,30 @@ def test_ngram_join_of_one_large_group(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_components(texts, 4, 85)
 
 
+def numbers_of_links(texts, n, percent):
+    """With how many other texts each one links, by all pairs."""
+    words = [WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for t in texts]
+    sets = [{tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set() for w in words]
+    link = lambda a, b: bool(a) and bool(b) and 100 * len(a & b) >= percent * len(a | b)
+    return {i: sum(link(a, b) for j, b in enumerate(sets) if i != j) for i, a in enumerate(sets)}
+
+
+@pytest.mark.parametrize("rows, grams, products", [(128, 1 << 21, 1 << 21), (7, 1 << 21, 500), (128, 2000, 1)])
+def test_ngram_join_counts_all_links_of_a_document(spark, monkeypatch, rows, grams, products):
+    for name, value in (("BLOCK_ROWS", rows), ("BLOCK_GRAMS", grams), ("PRODUCTS", products)):
+        monkeypatch.setattr(ngram_join, name, value)
+    group = near_the_bound()
+    texts = some_texts() + group + group[:5] + group[:2]
+    got = {r["doc_id"]: r["n_links"] for r in ngram_join.join(frame(spark, texts), Scratch(spark, "t")).collect()}
+    want = numbers_of_links(texts, 4, 85)
+    assert got == want and len(set(want.values())) > 5
+
+
+def test_ngram_join_without_numbers_of_links(spark):
+    got = ngram_join.join(frame(spark, some_texts()), Scratch(spark, "t"), count_links=False)
+    assert got.columns == ["doc_id", "n_shingles", "component_id"] and {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == jaccard_components(some_texts(), 4, 85)
+
+
 def test_differing_parities_are_at_most_the_ngrams_not_shared():
     rng = np.random.default_rng(5)
     for _ in range(200):
