@@ -148,6 +148,28 @@ def test_density_clusters_of_awkward_rows(spark):
         density.clusters(empty, "vec_id", 1)
 
 
+def test_least_edges_are_those_of_all_pairs_and_few_pairs_are_measured(monkeypatch):
+    rng, measured, whole = np.random.default_rng(4), [], density._measured
+    monkeypatch.setattr(density, "_PAIRS", 50)
+    monkeypatch.setattr(density, "_measured", lambda a, b, i, j: (measured.append(len(i)), whole(a, b, i, j))[1])
+    x = rng.normal(size=(900, 16))
+    x[600:620] = x[:20]
+    x = np.rint(x / np.linalg.norm(x, axis=1)[:, None] * density.SCALE)
+    core = rng.choice(density._squares(x[:30], x[30:60]).ravel(), 900)
+    block = lambda rows, part: density._Block(rows, x[rows], core[rows], part[rows])
+    for part in (np.arange(900) // 3, np.arange(900) % 4, np.arange(900) // 300 * 300):
+        own, others = block(np.arange(300), part), [block(np.arange(k, k + 300), part) for k in (0, 300, 600)]
+        fresh = lambda: {"w": np.full(300, density._FAR), "to": np.full(300, density._FAR), "other": np.full(300, -1)}
+        names, at = np.unique(own.part, return_inverse=True)
+        state, want = {"b": own, "at": at, "least": np.full(len(names), density._FAR), **fresh()}, fresh()
+        for other in others:
+            density._least_edges(state, other)
+            density._nearest_other(own, other, want["w"], want["to"], want["other"])
+        picks = lambda s: density._picks(own.part, s["w"], own.row, s["to"], s["other"]).to_pylist()  # noqa: E731, B023
+        assert picks(state) == picks(want) and len(picks(want)) == len(names)
+    assert sum(measured) < 0.2 * 3 * 300 * 900
+
+
 def test_a_spanning_tree_between_blocks_is_that_of_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(density, "BLOCK_ROWS", 30)
     rows = blobs(random.Random(8), 200, 4, 5)
