@@ -170,6 +170,18 @@ def test_least_edges_are_those_of_all_pairs_and_few_pairs_are_measured(monkeypat
     assert sum(measured) < 0.2 * 3 * 300 * 900
 
 
+def test_single_precision_leaves_out_no_near_pair():
+    rng = np.random.default_rng(6)
+    for dimension in (2, 64, 300):
+        x = rng.normal(size=(400, dimension))
+        x[200:] = x[:200] + rng.normal(size=(200, dimension)) * 10.0 ** -rng.integers(0, 8, (200, 1))
+        x = np.rint(x / np.linalg.norm(x, axis=1)[:, None] * density.SCALE)
+        exact = density._squares(x, x)
+        far = exact[np.arange(400), rng.integers(0, 400, 400)]
+        near, can = density._maybe_near(x, x, far)
+        assert can[exact <= far[:, None]].all() and np.abs(near - exact / density.SCALE**2).max() <= density._error(dimension)
+
+
 def test_a_spanning_tree_between_blocks_is_that_of_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(density, "BLOCK_ROWS", 30)
     rows = blobs(random.Random(8), 200, 4, 5)
